@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, secret_scan
+from . import bpe, chat_format, media, quality_rules, secret_scan
 from .common import table
 from .oracles import ORACLES
 
@@ -22,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_media(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), *_ranks())
 
@@ -30,10 +35,28 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+#: The text of both turns of conversation -1.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    types = {f.name: f.dataType for f in turns.schema}
+    added = spark.range(0, 2, 1, 1).select(
+        F.lit(-1).cast(types["conv_id"]).alias("conv_id"),
+        F.col("id").cast(types["turn"]).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat_format.digests(chat_format.formatted(turns.unionByName(added)))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_media_columns": op3_media_columns,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_secret_scan": op8_secret_scan,
+    "op9_chat_format": op9_chat_format,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
