@@ -13,7 +13,7 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 _local: dict[str, str] = {}
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,17 +35,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/recordflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+    again = spark.read.schema(df.schema).parquet(path)
+    again._scratch = path
+    return again
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the scratch table that ``written`` returned as ``df``; nothing may read it any more."""
+    path = df._scratch
+    spark = _written.pop(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def drop_written() -> None:
     """Deletes the scratch tables of this process; results that read them must have been consumed."""
-    while _written:
-        spark, path = _written.pop()
+    for path, spark in list(_written.items()):
+        _written.pop(path)
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # the session has ended before the process; its folder goes with the job
             return

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, media, quality_rules, secret_scan
+from . import bpe, chat_format, media, quality_rules, secret_scan, simhash
 from .common import table
 from .oracles import ORACLES
 
@@ -23,6 +23,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_simhash": op2_simhash,
     "op3_media_columns": op3_media_columns,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_secret_scan": op8_secret_scan,
