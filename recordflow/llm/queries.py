@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, media, quality_rules, secret_scan, simhash
+from . import bpe, chat_format, media, mixing, quality_rules, secret_scan, simhash
 from .common import table
 from .oracles import ORACLES
 
@@ -36,6 +36,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), *_ranks())
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_media_columns": op3_media_columns,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_mixing": op6_mixing,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
 }
