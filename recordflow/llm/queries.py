@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, media, mixing, quality_rules, secret_scan, simhash
+from . import bpe, chat_format, media, mixing, pii, quality_rules, secret_scan, simhash
 from .common import table
 from .oracles import ORACLES
 
@@ -60,6 +60,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.formatted(turns.unionByName(added)))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
@@ -68,6 +72,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
+    "op10_pii": op10_pii,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
