@@ -33,21 +33,21 @@ ADDED = ("spelled_email", "number_group", "iban", "national_id", "dotted_quad",
 KINDS = (*BASE, *ADDED)
 
 _LOCAL = r"A-Za-z0-9._%+-"
-#: kind: (pattern, a text that every match holds, or none)
+#: kind: (pattern, a short pattern that every match holds, tried first)
 PATTERNS = {
     "email": (rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
-    "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
-    "card": (r"[0-9](?:[\x20-]?[0-9])++", None),
-    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
+    "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
     "spelled_email": (
         r"\b[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\x20?[\[(]dot[\])]\x20?|\.)[A-Za-z]{2,12}){1,3}\b",
-        "at",
+        r"[\[(]at[\])]",
     ),
-    "number_group": (r"(?<![0-9])[0-9]{3,4}(?:[\x20.-][0-9]{3,6}){2,4}(?![0-9])", None),
-    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b", None),
-    "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
-    "dotted_quad": (r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])", "."),
-    "national_phone": (r"(?<![0-9+])\(?[0-9]{2,5}\)?[\x20.-][0-9]{2,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![0-9])", None),
+    "number_group": (r"(?<![0-9])[0-9]{3,4}(?:[\x20.-][0-9]{3,6}){2,4}(?![0-9])", "[0-9]{3}[ .-]"),
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b", "[A-Z]{2}[0-9]{2}"),
+    "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-[0-9]{2}-"),
+    "dotted_quad": (r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])", r"[0-9]\.[0-9]"),
+    "national_phone": (r"(?<![0-9+])\(?[0-9]{2,5}\)?[\x20.-][0-9]{2,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![0-9])", "[0-9]{2}[ .)-]"),
 }
 
 #: Words before a span that tell of personal data; fixed, lower case.
@@ -55,7 +55,7 @@ CUES = (
     "phone", "tel", "call", "mobile", "fax", "mail", "contact", "write", "reach", "card", "visa", "iban", "account",
     "ssn", "passport", "address", "server", "host", "login",
 )
-WINDOW = 32
+WINDOW, BLOCK = 32, 128
 
 
 @dataclass(frozen=True)
@@ -72,29 +72,36 @@ def _longs(x: Column) -> Column:
 
 
 def _matches(text: str, kind: str) -> Column:
-    """Matches of a kind in order: array of (start, end, value), code points."""
-    pattern, needle = PATTERNS[kind]
-    p = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    found = f"regexp_extract_all({text}, '{p}', 0)"
-    placed = (
-        "aggregate(sequence(0, size(m) - 1),"
-        " named_struct('at', 0, 'out', cast(array() AS array<struct<start:int,end:int,value:string>>)),"
+    """Matches of a kind in order: array of (start, end, value, before, after); positions in code points.
+
+    ``before`` and ``after`` are what stands next to the match within its gaps, so that no match walks the whole text.
+    """
+    quoted = lambda x: x.replace("\\", "\\\\").replace("'", "\\'")
+    p, ready = (quoted(x) for x in PATTERNS[kind])
+    item = "struct<start:int,end:int,value:string,before:string,after:string>"
+    # appended in blocks, so that many matches of one text cost no more than a few copies each
+    block = (
+        f"aggregate(sequence(b * {BLOCK}, least(size(m), (b + 1) * {BLOCK}) - 1),"
+        f" named_struct('at', o.at, 'out', cast(array() AS array<{item}>)),"
         " (a, k) -> named_struct("
         "  'at', a.at + length(g[k]) + length(m[k]),"
         "  'out', array_append(a.out, named_struct("
-        "    'start', a.at + length(g[k]), 'end', a.at + length(g[k]) + length(m[k]), 'value', m[k]))),"
-        " a -> a.out)"
+        "    'start', a.at + length(g[k]), 'end', a.at + length(g[k]) + length(m[k]), 'value', m[k],"
+        f"    'before', lower(right(g[k], {WINDOW})), 'after', left(g[k + 1], 1)))))"
+    )
+    placed = (
+        f"aggregate(sequence(0, (size(m) - 1) div {BLOCK}),"
+        f" named_struct('at', 0, 'out', cast(array() AS array<array<{item}>>)),"
+        " (o, b) -> element_at(transform("
+        f"   array({block}), x -> named_struct('at', x.at, 'out', array_append(o.out, x.out))), 1),"
+        " o -> flatten(o.out))"
     )
     # one element arrays bind m (the matches) and g (the gaps) once
     bound = (
-        f"flatten(transform(filter(array({found}), m -> size(m) > 0), m ->"
+        f"flatten(transform(filter(array(regexp_extract_all({text}, '{p}', 0)), m -> size(m) > 0), m ->"
         f" flatten(transform(array(split({text}, '{p}', -1)), g -> {placed}))))"
     )
-    if needle is None:
-        ready = f"rlike({text}, '[0-9]')"
-    else:
-        ready = f"contains({text}, '{needle}')"
-    return F.expr(f"CASE WHEN {ready} THEN {bound} ELSE array() END")
+    return F.expr(f"CASE WHEN rlike({text}, '{ready}') THEN {bound} ELSE array() END")
 
 
 def _digits(value: Column) -> Column:
@@ -146,11 +153,10 @@ def _valid(kind: str, value: Column) -> Column | None:
     return None
 
 
-def _cell(kind: str, text: Column, start: Column, end: Column, value: Column) -> Column:
+def _cell(kind: str, m: Column) -> Column:
     """13 bits: generator, digits, and what the span and its neighbourhood look like."""
-    before = F.lower(F.substring(text, F.greatest(start - WINDOW, F.lit(0)) + 1, F.least(start, F.lit(WINDOW))))
-    prior = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
-    after = F.substring(text, end + 1, F.lit(1))
+    value, before, after = m["value"], m["before"], m["after"]
+    prior = F.right(before, F.lit(1))
     n = F.length(_digits(value))
     cue = F.lit(False)
     for word in CUES:
@@ -191,7 +197,7 @@ def _described(kind: str, rank: int):
             m["start"].alias("start"),
             F.lit(rank).alias("rank"),
             m["end"].alias("end"),
-            _cell(kind, F.col("text"), m["start"], m["end"], m["value"]).alias("cell"),
+            _cell(kind, m).alias("cell"),
             (F.lit(None).cast("int") if label is None else label.cast("int")).alias("label"),
             F.pmod(F.xxhash64(m["value"]), F.lit(4)).cast("int").alias("fold"),
         )
