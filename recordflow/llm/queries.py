@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, media, mixing, pii, quality_rules, secret_scan, simhash
+from . import bpe, chat_format, media, mixing, perplexity, pii, quality_rules, secret_scan, simhash
 from .common import table
 from .oracles import ORACLES
 
@@ -32,6 +32,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(table(spark, sf_dir, "documents"))
 
 
+def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), *_ranks())
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash": op2_simhash,
     "op3_media_columns": op3_media_columns,
+    "op4_perplexity": op4_perplexity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
     "op8_secret_scan": op8_secret_scan,
