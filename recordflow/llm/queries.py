@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, media, mixing, perplexity, pii, quality_rules, secret_scan, simhash
+from . import bpe, chat_format, media, mixing, perplexity, pii, quality_rules, repeats, secret_scan, simhash
 from .common import table
 from .oracles import ORACLES
 
@@ -44,6 +44,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op4_perplexity": op4_perplexity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
+    "op7_repeats": op7_repeats,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_pii": op10_pii,
