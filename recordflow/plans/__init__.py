@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PLANS = ("scalars",)
+PLANS = ("scalars", "relational", "entity")
 
 
 def load() -> tuple[dict, dict]:
