@@ -270,18 +270,48 @@ def _result(doc, data: bytes, spans):
     return doc, len(data), removed, n, hashlib.sha256(rest).hexdigest()
 
 
+def _crowded_starts(rows) -> tuple[list[tuple], dict[int, list[int]]]:
+    """Starts of the crowded runs of a batch: one row for each content, and those found twice in the batch by document.
+
+    A content found twice here is settled here; its one row only tells other batches of it.
+    """
+    parts = []
+    for i, (_, _, _, data, _, open_) in enumerate(rows):
+        for x in open_:
+            if x["different"] > CROWD:
+                f, c = x["first"], x["count"]
+                piece, at = np.frombuffer(data[f : f + c + LENGTH - 1], np.uint8), np.arange(c)
+                w = np.empty(c, [("w1", np.uint64), ("w2", np.uint64)])
+                for name, seed in (("w1", 3), ("w2", 4)):
+                    w[name] = _hashes(_prefix(piece, seed), at, at + LENGTH, seed)
+                parts.append((np.full(c, i), at + f, w))
+    if not parts:
+        return [], {}
+    doc, place, w = (np.concatenate(x) for x in zip(*parts))
+    kinds, first, kind, n = np.unique(w, return_index=True, return_inverse=True, return_counts=True)
+    repeated: dict[int, list[int]] = {}
+    for j in np.flatnonzero(n[kind] > 1).tolist():
+        repeated.setdefault(int(doc[j]), []).append(int(place[j]))
+    columns = (doc[first], place[first], np.minimum(n, 2), kinds["w1"].view(np.int64), kinds["w2"].view(np.int64))
+    return list(zip(*(c.tolist() for c in columns))), repeated
+
+
 def _first_pass(batches):
     """Documents with their found runs: results where all is known, else the text and the runs to compare."""
     names = [*RESULT, "kind", "th", "text", "spans", "key", "bytes", "first", "count", "n", "w1", "w2"]
     longs, pair = pa.int64(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     for b in batches:
         types = [b.schema.field(0).type, longs, longs, longs, pa.string(), pa.string(), longs, pa.string(), pair, longs, pa.binary(), longs, longs, longs, longs, longs]
-        out = []
-        blank = (None,) * 4
+        out, blank = [], (None,) * 4
+        rows = []
         for doc, text, th, found in zip(*(b.column(i).to_pylist() for i in range(4))):
             data, found = _bytes(text), found or []
             spans = [(x["first"], x["first"] + x["count"] + LENGTH - 1) for x in found if x["n"] > 1]
             open_ = [x for x in found if (x["different"] > 1 or x["any_own"]) and x["mine"]]
+            rows.append((doc, text, th, data, spans, open_))
+        once, repeated = _crowded_starts(rows)
+        for i, (doc, text, th, data, spans, open_) in enumerate(rows):
+            spans += [(p, p + LENGTH) for p in repeated.get(i, ())]
             if not any(x["n"] == 1 for x in open_):
                 out.append((*_result(doc, data, spans), "done", *(None,) * 10))
             else:
@@ -292,14 +322,9 @@ def _first_pass(batches):
                 if x["different"] <= CROWD:
                     piece = data[f : f + c + LENGTH - 1]
                     out.append((doc, *blank, "run", th, None, None, x["key"], piece, f, c, x["n"], None, None))
-                    continue
-                piece = np.frombuffer(data[f : f + c + LENGTH - 1], np.uint8)
-                at = np.arange(c)
-                w1, w2 = (_hashes(_prefix(piece, s), at, at + LENGTH, s).view(np.int64).tolist() for s in (3, 4))
-                out += [
-                    (doc, *blank, "start", th, None, None, None, None, f + i, None, x["n"], w1[i], w2[i])
-                    for i in range(c)
-                ]
+        for i, p, n, w1, w2 in once:
+            doc, th = (rows[i][0], rows[i][2]) if n == 1 else (None, None)
+            out.append((doc, *blank, "start", th, None, None, None, None, p, None, n, w1, w2))
         cols = list(zip(*out)) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
@@ -363,8 +388,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         _compared, f"doc_id {kind}, th long, s long, e long"
     )
     starts = first.where("kind = 'start'").select("doc_id", "th", "first", "w1", "w2", "n")
-    crowded = starts.groupBy("w1", "w2").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    crowded = starts.join(crowded, ["w1", "w2"]).select(
+    crowded = starts.groupBy("w1", "w2").agg(F.sum("n").alias("k")).where("k > 1").drop("k")
+    crowded = starts.where("n = 1").join(crowded, ["w1", "w2"]).select(
         "doc_id", "th", F.col("first").alias("s"), (F.col("first") + LENGTH).alias("e")
     )
     more = compared.unionByName(crowded).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("more"))
