@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PLANS = ("scalars", "relational", "entity")
+PLANS = ("scalars", "relational", "entity", "stateful")
 
 
 def load() -> tuple[dict, dict]:
