@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from recordflow.operators import linkage
+from recordflow.sources.shared import use_checkpoints
 
 from .adapters import OBS_SQL, observations, table
 from .registry import query
@@ -19,8 +18,7 @@ def _url():
 
 
 def _obs(spark, sf_dir):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="recordflow-"))
+    use_checkpoints(spark)
     return observations(spark, sf_dir).withColumn("url", _url())
 
 

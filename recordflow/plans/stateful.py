@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from recordflow.operators import state
+from recordflow.sources.shared import shared_dir
 from recordflow.streaming import state_stream
 
 from .adapters import table
@@ -102,7 +101,7 @@ def lifecycle_anomalies(spark, sf_dir):
 
 
 def _streamed(spark, stream, name, mode="append"):
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", tempfile.mkdtemp(prefix="recordflow-")).trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", shared_dir(spark, "stream")).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
 
@@ -110,10 +109,10 @@ def _streamed(spark, stream, name, mode="append"):
 @query("state_stream", f"WITH {_RUN} SELECT id, generation, times_seen, lifecycle, stored AS value, event FROM ev")
 def state_stream_(spark, sf_dir):
     """The replay as a stream of snapshots; the memory sink is for small inputs such as this check."""
-    at = tempfile.mkdtemp(prefix="recordflow-")
-    snapshots(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"file://{at}/in")
-    seen = spark.read.parquet(f"file://{at}/in")
-    stream = spark.readStream.schema(seen.schema).parquet(f"file://{at}/in")
+    at = shared_dir(spark, "snapshots")
+    snapshots(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{at}/in")
+    seen = spark.read.parquet(f"{at}/in")
+    stream = spark.readStream.schema(seen.schema).parquet(f"{at}/in")
     return _streamed(spark, state_stream.fold(stream), "recordflow_state_stream")
 
 
