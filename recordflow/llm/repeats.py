@@ -1,8 +1,8 @@
 """Removal of long repeats: every byte of a string of ``LENGTH`` bytes that also starts anywhere else.
 
-1. Every start of ``LENGTH`` bytes gets a key that its content alone decides: the least hash of its 200-byte
+1. Every start of ``LENGTH`` bytes gets a key that its content alone decides: the least hash of its 128-byte
    substrings (winnowing).  Neighbouring starts with one key form a run; equal strings have equal keys,
-   so only runs of one key can repeat each other.  About one run goes for a hundred bytes.
+   so only runs of one key can repeat each other.  About one run goes for 150 bytes.
 2. Runs are counted by key and content.  Where the same run is found twice or more, all its starts repeat; a run
    with its least substring at two places may repeat itself, and is compared like those of 3.
 3. Different runs of one key repeat each other in part.  One run of each content is compared: the bytes of the runs of
@@ -33,9 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import forget, small_batches, written
 
-LENGTH, GRAM, CROWD = 400, 200, 256
+LENGTH, GRAM, CROWD = 400, 128, 256
 #: Starts of a run at most; bytes hashed in one piece; bytes of one transform, about.
 RUN, PIECE, BIN = 256, 1 << 18, 1 << 17
 
@@ -383,6 +383,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         ),
         "first",
     )
+    forget(found)
+    forget(each)
     bits = first.where("kind = 'run'").select("doc_id", "th", "key", "bytes", "first", "count", "n")
     compared = bits.repartition("key").sortWithinPartitions("key").mapInArrow(
         _compared, f"doc_id {kind}, th long, s long, e long"
