@@ -122,8 +122,8 @@ def cache_worklist(spark, sf_dir):
     return c.join(c.where("turn % 2 = 0").select("fp"), "fp", "left_anti").select("conv_id", "turn")
 
 
-@query("luna_merge", "SELECT doc_id, 'MAIN' AS origin FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 'RESCUE' FROM labels WHERE quality = 0")
-def luna_merge(spark, sf_dir):
+@query("report_merge", "SELECT doc_id, 'MAIN' AS origin FROM labels WHERE quality = 1 UNION ALL SELECT doc_id, 'RESCUE' FROM labels WHERE quality = 0")
+def report_merge(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     main = labels.where("quality = 1").select("doc_id", F.lit("MAIN").alias("origin"))
     return joins.merge_first(main, labels.select("doc_id", F.lit("RESCUE").alias("origin")), "doc_id")
