@@ -144,6 +144,7 @@ def clusters(f: DataFrame, links: DataFrame) -> DataFrame:
     """
     from pyspark.sql import types as T
 
+    links = links.checkpoint()  # read for the components and again inside them
     roots = components(links)
     inside = links.select("a", "b").join(roots, F.col("a") == F.col("node")).select("root", "a", "b")
     schema = T.StructType([T.StructField("obs_ord", f.schema["obs_ord"].dataType), T.StructField("cluster", f.schema["obs_ord"].dataType)])
