@@ -1,12 +1,15 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of trusted text, thresholds by language.
+"""Quality classifier: an interpolated modified Kneser-Ney model of words of trusted text, thresholds by language.
 
-The model counts trigrams of 128 character symbols over all trusted texts (whole, no sample).  Counts are summed by
-key, and joined with the totals and continuation counts of their contexts, sharded by context; this
-gives the log-probability of every seen trigram and the back-off weight of every seen context.  A table over 128
-symbols has at most 128**3 entries whatever the input, a proven bound (8 MB), so scoring looks n-grams up in a
-broadcast array; the n-grams of the documents are never shuffled.  A document's perplexity is
-compared with quantiles of the trusted documents of its language; short texts get room in proportion to
-the deviation of their mean.
+The model counts pairs of words over all trusted texts (whole, no sample), and spells words by trigrams of 128 character
+symbols.  Pair counts are summed by key, and joined with the totals and continuation counts of their words.  They grow with
+the corpus, so the documents' distinct words and pairs are sent to shards of the keys' range, where they meet the model's;
+only sums by text come back.  The character table has at most 128**3 entries whatever the input (8 MB) and is broadcast: it
+is what the word model backs off to for words it has not seen.
+
+A word model remembers its texts.  So trusted texts are dealt into two folds by the hash of the text, each with counts of its
+own, and every text, trusted or not, is scored by the fold that holds neither it nor its copies.  A document's perplexity, by
+symbol, is compared with quantiles of the trusted documents of its language; short texts get room in
+proportion to the deviation of their mean.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null language is a language of its own;
 languages with fewer than ``least`` trusted documents use the quantiles of all; without any trusted text every
@@ -17,20 +20,28 @@ is good and none is bad; an empty table gives an empty result; extra columns are
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, written
+from .common import forget, small_batches, written
 
 V = 128
 PAIRS, TRIPLES = V * V, V * V * V
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Tell the keys of words from those of pairs, and the folds' from each other.
+WORD_SALT = np.array([0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A], np.uint64)
+PAIR_SALT = np.array([0xDAA66D2C7DDF743F, 0x78DDE6E5FD29F054], np.uint64)
+#: Characters whose n-grams are made distinct together; keys of a shard of the model.
+CHUNK, SHARD_KEYS = 4_000_000, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -157,35 +168,308 @@ def model(counts: DataFrame) -> np.ndarray:
     return np.log(np.maximum(three, 1e-12)).astype(np.float32)
 
 
-def scored(docs: DataFrame, table: np.ndarray, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and __n, __nll: symbols, and mean negative log-probability of one, null without text."""
+def _rolled(h, left, right, xor):
+    """A 64-bit key rotated by seven places; shifts and ors are the same in numpy and in Spark."""
+    return xor(left(h, 7), right(h, 57))
+
+
+def _pair_keys(v: np.ndarray, w: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    return _rolled(v, np.left_shift, np.right_shift, np.bitwise_or) ^ w ^ PAIR_SALT[fold]
+
+
+def _pair_column(v: str, w: str, fold: str) -> Column:
+    """``_pair_keys`` in Spark."""
+    rolled = _rolled(F.col(v), F.shiftleft, F.shiftrightunsigned, lambda x, y: x.bitwiseOR(y))
+    return rolled.bitwiseXOR(F.col(w)).bitwiseXOR(_salted(PAIR_SALT, fold))
+
+
+def _salted(salts: np.ndarray, fold: str) -> Column:
+    first, second = (int(x) for x in salts.view(np.int64))
+    return F.when(F.col(fold) == 0, F.lit(first).cast("long")).otherwise(F.lit(second).cast("long"))
+
+
+def fold_of(text: str = "text") -> Column:
+    """The fold of a text; equal texts share it, whatever their ids."""
+    return F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(2)).cast("int")
+
+
+class _Words:
+    """Keys and spelling log-probabilities of words, kept for the words met so far in a task."""
+
+    def __init__(self, logp: np.ndarray | None):
+        self.logp, self.seen = logp, {}
+
+    def spelled(self, words: list[str]) -> np.ndarray:
+        """Log-probability of each word's characters and the space behind it, after spaces, under the character model."""
+        s = symbols("  " + "  ".join(words) + "  ")[2:-1]
+        each = self.logp[s[:-2] * PAIRS + s[1:-1] * V + s[2:]]
+        ends = np.cumsum([len(w) + 2 for w in words])
+        total = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
+        starts = ends - [len(w) + 2 for w in words]
+        # the word's characters and one space
+        return total[ends - 1] - total[starts]
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and spelling of distinct words."""
+        if len(self.seen) > 500_000:
+            self.seen = {}
+        new = [w for w in words if w not in self.seen]
+        if new:
+            spell = self.spelled(new) if self.logp is not None else np.zeros(len(new))
+            for w, x in zip(new, spell.tolist()):
+                self.seen[w] = (int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"), x)
+        both = [self.seen[w] for w in words]
+        return np.array([k for k, _ in both], np.uint64), np.array([x for _, x in both], np.float64)
+
+    def chunk(self, texts: list[str]):
+        """(keys, spelling, at, words, ends) of texts: the words of all, edge first, as places in ``keys``."""
+        lists = [WORD.findall(t) for t in texts]
+        flat = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
+        keys, spell = self.of(flat.dictionary.to_pylist())
+        # the edge is a word of its own, the empty one
+        edge, spelled = self.of([""])
+        sizes = np.array([len(x) for x in lists])
+        ends = np.cumsum(sizes + 1)
+        words = np.zeros(ends[-1], np.int64)
+        inner = np.ones(ends[-1], bool)
+        inner[ends - 1] = False
+        words[inner] = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        text = np.repeat(np.arange(len(texts)), sizes + 1)
+        before = np.zeros_like(words)
+        before[1:] = words[:-1]  # the last of a text is the edge, which is also before the next one's first
+        return np.concatenate([edge, keys]), np.concatenate([spelled, spell]), text, before, words
+
+
+def _chunks(batches, text: int, others: tuple[int, ...]):
+    """Lists of rows (text, others...) that hold up to about CHUNK characters together."""
+    held, size = [], 0
+    for b in batches:
+        for row in zip(b.column(text).to_pylist(), *(b.column(i).to_pylist() for i in others)):
+            if row[0]:
+                held.append(row)
+                size += len(row[0])
+                if size >= CHUNK:
+                    yield held
+                    held, size = [], 0
+    if held:
+        yield held
+
+
+def pair_counts(docs: DataFrame, ids: DataFrame, table: np.ndarray, limits: Limits) -> DataFrame:
+    """(fold, v, w, n, spell): pairs of words in the whole texts of the trusted documents, summed.
+
+    Rows without v tell a word's spelling.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(table)
-    only = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
+    side = F.broadcast(ids) if ids.count() <= limits.most_broadcast else ids
+    texts = docs.join(side, "doc_id", "left_semi").select("text", fold_of().alias("fold"))
+
+    def run(batches):
+        words = _Words(held.value)
+        for rows in _chunks(batches, 0, (1,)):
+            keys, spell, at, v, w = words.chunk([r[0] for r in rows])
+            fold = np.array([r[1] for r in rows])[at]
+            m = len(keys)
+            pairs, n = np.unique((fold * m + v) * m + w, return_counts=True)
+            f, v, w = pairs // m // m, pairs // m % m, pairs % m
+            one = np.unique(f * m + w)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([f, one // m]).astype(np.int32)),
+                    pa.array(np.concatenate([keys[v], keys[one % m]]).view(np.int64), mask=np.arange(len(f) + len(one)) >= len(f)),
+                    pa.array(np.concatenate([keys[w], keys[one % m]]).view(np.int64)),
+                    pa.array(np.concatenate([n, np.zeros(len(one), np.int64)])),
+                    pa.array(np.concatenate([np.zeros(len(f)), spell[one % m]])),
+                ],
+                ["fold", "v", "w", "n", "spell"],
+            )
+
+    each = texts.mapInArrow(run, "fold int, v long, w long, n long, spell double")
+    return each.groupBy("fold", "v", "w").agg(F.sum("n").alias("n"), F.min("spell").alias("spell"))
+
+
+def _discount(counts: DataFrame) -> Column:
+    """The modified Kneser-Ney discount of ``n``, from the counts of counts; never nothing, so that each context backs off."""
+    k = {int(r["n"]): r["k"] for r in counts.groupBy("n").agg(F.count("*").alias("k")).where("n <= 4").collect()}
+    n1, n2, n3, n4 = (k.get(i, 0) for i in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+    d = [min(max(x, 0.1), i - 0.1) for i, x in zip((1, 2, 3), d)]
+    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+
+
+def word_model(counts: DataFrame) -> tuple[DataFrame, list[float]]:
+    """(key, value) of all words and pairs, and for each fold the log-share of spelled words.
+
+    p(w) = (N(w) - D) / N + g p_spelled(w) with continuation counts N, and p(w | v) = (n(vw) - D) / n(v) + b(v) p(w).
+    So log p(w | v) = [log g p_spelled(w)] + [log p(w) - log g p_spelled(w)] + [log b(v)] + [log p(w | v) - log b(v) p(w)]:
+    the first is known without the counts, the second and third are the value of a word (as each word and edge of a text is
+    once met and once context), the fourth that of a pair; what was not seen has the value nought.
+    """
+    pairs = counts.where("v IS NOT NULL").select("fold", "v", "w", "n")
+    contexts = pairs.withColumn("off", _discount(pairs)).groupBy("fold", F.col("v").alias("x")).agg(F.sum("n").alias("total"), F.sum("off").alias("removed"))
+    met = written(pairs.groupBy("fold", F.col("w").alias("x")).agg(F.count("*").alias("n")), "met")
+    met = met.withColumn("off", _discount(met))
+    sums = {r["fold"]: r for r in met.groupBy("fold").agg(F.sum("n").alias("total"), F.sum("off").alias("removed")).collect()}
+    shares = [sums[f]["removed"] / sums[f]["total"] if f in sums else 1.0 for f in (0, 1)]
+    totals = [float(sums[f]["total"]) if f in sums else 1.0 for f in (0, 1)]
+    by = lambda x: F.when(F.col("fold") == 0, F.lit(x[0])).otherwise(F.lit(x[1]))
+    spell = counts.where("v IS NULL").select("fold", F.col("w").alias("x"), "spell")
+    base = by(shares) * F.exp("spell")
+    # a word is met as often as it is a context, the edge too, so that all tables here have the same words
+    words = met.join(spell, ["fold", "x"]).join(contexts, ["fold", "x"]).select(
+        "fold", "x", "removed", ((F.col("n") - F.col("off")) / by(totals) + base).alias("p"),
+        (F.log1p((F.col("n") - F.col("off")) / by(totals) / base) + F.log(F.col("removed") / F.col("total"))).alias("value"),
+    )
+    words = written(words, "words")
+    found = pairs.withColumn("off", _discount(pairs))
+    found = found.join(words.select("fold", F.col("x").alias("v"), "removed"), ["fold", "v"])
+    found = found.join(words.select("fold", F.col("x").alias("w"), "p"), ["fold", "w"])
+    value = F.log1p((F.col("n") - F.col("off")) / (F.col("removed") * F.col("p")))
+    return (
+        words.select(F.col("x").bitwiseXOR(_salted(WORD_SALT, "fold")).alias("key"), F.col("value").cast("float").alias("value"))
+        .unionByName(found.select(_pair_column("v", "w", "fold").alias("key"), value.cast("float").alias("value")))
+    ), [float(np.log(x)) for x in shares]
+
+
+def _packed(shards: int):
+    """(shard, kind 0, keys and values) of a model's rows, sorted by key within a blob."""
 
     def run(batches):
-        logp = held.value
         for b in batches:
-            n, nll = [], []
-            for t in b.column(len(keep)).to_pylist():
-                k = trigrams(t) if t else None
-                n.append(len(k) if t else 0)
-                nll.append(-float(logp[k].sum(dtype=np.float64)) / len(k) if t else None)
+            key, value = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            key = key.view(np.uint64)
+            order = np.argsort(key)
+            key, value = key[order], value[order].astype(np.float32)
+            cuts = np.searchsorted(key, _bounds(shards))
+            out = [(i, key[x:y].tobytes() + value[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, [*cuts[1:], len(key)])) if y > x]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(nll, pa.float64())],
-                [*keep, "__n", "__nll"],
+                [pa.array([i for i, _ in out], pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array([x for _, x in out], pa.binary())],
+                ["shard", "kind", "blob"],
             )
 
-    out = T.StructType([*(only.schema[c] for c in keep), *T._parse_datatype_string("__n long, __nll double").fields])
-    return only.mapInArrow(run, out)
+    return run
+
+
+def _bounds(shards: int) -> np.ndarray:
+    """The least key of each shard."""
+    return np.array([(i << 64) // shards for i in range(shards)], np.uint64)
+
+
+def _requests(held, shares: list[float], shards: int):
+    """(shard, kind 1, blob): the distinct words and pairs of each text with their counts; kind 2: texts with what needs no look-up.
+
+    A text is judged by the model of the other fold, which has seen neither it nor a copy.
+    """
+
+    def run(batches):
+        words = _Words(held.value)
+        for rows in _chunks(batches, 0, (1, 2)):
+            rows = list({r[1]: r for r in rows}.values())  # equal texts have one score
+            keys, spell, at, v, w = words.chunk([r[0] for r in rows])
+            ids = np.array([r[1] for r in rows], np.int64)
+            fold = 1 - np.array([r[2] for r in rows])
+            base = np.bincount(at, spell[w] + np.array(shares)[fold][at], len(rows))
+            asked = np.concatenate([keys[w] ^ WORD_SALT[fold[at]], _pair_keys(keys[v], keys[w], fold[at])])
+            known, place = np.unique(asked, return_inverse=True)
+            code, n = np.unique(place * len(rows) + np.tile(at, 2), return_counts=True)
+            place, doc = code // len(rows), (code % len(rows)).astype(np.uint32)
+            first = np.searchsorted(place, np.arange(len(known) + 1))
+            cuts = np.append(np.searchsorted(known, _bounds(shards)), len(known))
+            shard, kind, blob = [int(ids[0]) % shards], [2], [np.int64(len(ids)).tobytes() + ids.tobytes() + base.tobytes()]
+            for i in range(shards):
+                x, y = cuts[i], cuts[i + 1]
+                if y > x:
+                    lo, hi = first[x], first[y]
+                    used, ref = np.unique(doc[lo:hi], return_inverse=True)
+                    here = ids[used]
+                    shard.append(i)
+                    kind.append(1)
+                    blob.append(
+                        np.array([y - x, hi - lo, len(here)], np.int64).tobytes() + known[x:y].tobytes() + here.tobytes()
+                        + np.diff(first[x : y + 1]).astype(np.uint32).tobytes() + ref.astype(np.uint32).tobytes() + n[lo:hi].astype(np.uint32).tobytes()
+                    )
+            for k in range(0, len(shard), 16):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[k : k + 16], pa.int32()), pa.array(kind[k : k + 16], pa.int32()), pa.array(blob[k : k + 16], pa.binary())],
+                    ["shard", "kind", "blob"],
+                )
+
+    return run
+
+
+def _answers(batches):
+    """(text, sum, one) for each text and shard; rows come by shard, the model's first."""
+    at, parts, key, value = None, [], np.empty(0, np.uint64), np.empty(0, np.float32)
+
+    def out(ids, x, one):
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(x), pa.array(np.full(len(ids), one, np.int64))], ["text", "sum", "one"])
+
+    for b in batches:
+        for shard, kind, blob in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if shard != at:
+                at, parts, key, value = shard, [], np.empty(0, np.uint64), np.empty(0, np.float32)
+            if kind == 0:
+                parts.append(blob)
+                continue
+            if parts:
+                sizes = [len(x) // 12 for x in parts]
+                key = np.concatenate([np.frombuffer(x, np.uint64, m) for x, m in zip(parts, sizes)])
+                value = np.concatenate([np.frombuffer(x, np.float32, m, 8 * m) for x, m in zip(parts, sizes)])
+                order, parts = np.argsort(key), []
+                key, value = key[order], value[order]
+            if kind == 2:
+                m = int(np.frombuffer(blob, np.int64, 1)[0])
+                yield out(np.frombuffer(blob, np.int64, m, 8), np.frombuffer(blob, np.float64, m, 8 + 8 * m), 1)
+                continue
+            m, pairs, texts = (int(x) for x in np.frombuffer(blob, np.int64, 3))
+            if not len(key):
+                continue
+            asked = np.frombuffer(blob, np.uint64, m, 24)
+            ids = np.frombuffer(blob, np.int64, texts, 24 + 8 * m)
+            sizes, ref, n = np.split(np.frombuffer(blob, np.uint32, m + 2 * pairs, 24 + 8 * m + 8 * texts), [m, m + pairs])
+            place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
+            hit = np.where(key[place] == asked, value[place].astype(np.float64), 0.0)
+            yield out(ids, np.bincount(ref, np.repeat(hit, sizes) * n, texts), 0)
+
+
+def text_scores(docs: DataFrame, table: np.ndarray, values: DataFrame, shares: list[float]) -> DataFrame:
+    """(text hash, log-probability of the text); the texts' n-grams meet the model's in shards of the keys' range."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    held = spark.sparkContext.broadcast(table)
+    # the shards follow the model, so that one fits in a task
+    shards = max(16, -(-values.count() // SHARD_KEYS))
+    row = "shard int, kind int, blob binary"
+    texts = docs.select("text", F.xxhash64("text").alias("id"), fold_of().alias("fold")).where("text <> ''")
+    asked = texts.mapInArrow(_requests(held, shares, shards), row)
+    spread = values.mapInArrow(_packed(shards), row).unionByName(asked).repartition(shards, "shard")
+    parts = spread.sortWithinPartitions("shard", "kind").mapInArrow(_answers, "text long, sum double, one long")
+    # copies in different chunks are all counted, and averaged
+    return parts.groupBy("text").agg((F.sum("sum") / F.sum("one")).alias("logp"))
+
+
+def scored(docs: DataFrame, scores: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and __n, __nll: symbols, and mean negative log-probability of one, null without text."""
+    n = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.length("text") + 1).otherwise(0)
+    only = docs.select(*[F.col(f"`{c}`") for c in keep], n.cast("long").alias("__n"), F.xxhash64("text").alias("__hash"))
+    met = only.join(scores.withColumnRenamed("text", "__hash"), "__hash", "left")
+    return met.select(*[F.col(f"`{c}`") for c in keep], "__n", F.when(F.col("__n") > 0, -F.col("logp") / F.col("__n")).alias("__nll"))
 
 
 def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, keep: list[str]) -> DataFrame:
     """``scored`` with __low and __high of the language, and __kept."""
     ids = written(trusted_ids(labels), "trusted")
     table = model(written(trigram_counts(docs, ids, limits), "trigrams"))
-    scores = written(scored(docs, table, ["doc_id", "lang"]), "scores")
+    counts = written(pair_counts(docs, ids, table, limits), "pairs")
+    values, shares = word_model(counts)
+    values = written(values, "values")
+    forget(counts)
+    by_text = written(text_scores(docs, table, values, shares), "texts")
+    forget(values)
+    scores = scored(docs, by_text, ["doc_id", "lang"])
     good = scores.where("__nll IS NOT NULL").join(ids, "doc_id", "left_semi")
     cuts = F.percentile_approx("__nll", [limits.low, limits.high], 10_000)
     every = good.agg(F.count("*").alias("n"), cuts.alias("cuts")).first()
@@ -193,7 +477,7 @@ def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, keep: list[str])
     own = good.groupBy("lang").agg(F.count("*").alias("n"), cuts.alias("cuts")).where(F.col("n") >= limits.least)
     # one row a language: written, so that the planner sees its size before it picks the join
     own = written(own.select(F.col("lang").alias("__lang"), F.col("cuts").alias("__cuts")), "cuts")
-    again = scores if keep == ["doc_id", "lang"] else scored(docs, table, keep)
+    again = scores if keep == ["doc_id", "lang"] else scored(docs, by_text, keep)
     met = again.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumns(
         {"__low": F.coalesce(F.get("__cuts", F.lit(0)), F.lit(low)), "__high": F.coalesce(F.get("__cuts", F.lit(1)), F.lit(high))}
     )

@@ -216,6 +216,66 @@ def test_classifier_on_labels(spark):
     assert n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.99 and n[0, False] / (n[0, False] + n.get((0, True), 0)) > 0.7
 
 
+def test_word_order_counts(spark):
+    """Shuffled words have the characters and words of a fluent text, and no higher score under a model of characters alone."""
+    words = [f"x{a}{b}x" for a in "abcde" for b in "fghij"]
+    cycle = lambda at, n: " ".join(words[(at + i) % 25] for i in range(n))
+    fluent = cycle(3, 151).split()
+    shuffled = " ".join(random.Random(1).sample(fluent, len(fluent)))
+    rows = [(i, cycle(i, 100 + i), "en") for i in range(200)] + [(900, " ".join(fluent) + " xafx", "en"), (901, shuffled, "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in perplexity.classified(d, labels).where("doc_id >= 900").collect()}
+    assert got[900].kept and not got[901].kept and got[901].perplexity > 1.3 * got[900].perplexity
+
+
+def test_sharded_scores_are_those_of_the_counts(spark, monkeypatch):
+    """Sums of looked-up values equal the model's formula, pair by pair; the model grows with the trusted text."""
+    monkeypatch.setattr(perplexity, "CHUNK", 50)
+    monkeypatch.setattr(perplexity, "SHARD_KEYS", 40)
+    texts = [" ".join(random.Random(i).choices("abcdefghij", k=12)) for i in range(40)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "a a zz b", texts[0]])], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
+    table = perplexity.model(perplexity.trigram_counts(d, ids, perplexity.Limits()))
+    counts = perplexity.pair_counts(d, ids, table, perplexity.Limits())
+    values, shares = perplexity.word_model(counts)
+    few, _ = perplexity.word_model(perplexity.pair_counts(d, ids.where("doc_id < 5"), table, perplexity.Limits()))
+    assert values.count() > few.count()
+    folds = {r.doc_id: r.f for r in d.select("doc_id", perplexity.fold_of().alias("f")).collect()}
+    pairs = [Counter(), Counter()]
+    for i, t in enumerate(texts):
+        x = ["", *t.split(), ""]
+        pairs[folds[i]].update(zip(x, x[1:]))
+
+    def discounts(ns):
+        n1, n2, n3, n4 = (sum(x == i for x in ns) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+        return lambda n: min(max(d[min(n, 3) - 1], 0.1), min(n, 3) - 0.1)
+
+    met = [Counter(w for _, w in p) for p in pairs]
+    d2, d1 = discounts([n for p in pairs for n in p.values()]), discounts([n for m in met for n in m.values()])
+    spell = perplexity._Words(table)
+
+    def logp(text, f):
+        out, x = 0.0, ["", *text.split(), ""]
+        for v, w in zip(x, x[1:]):
+            total = sum(met[f].values())
+            low = sum(map(d1, met[f].values())) / total * np.exp(spell.spelled([w])[0])
+            low += (met[f][w] - d1(met[f][w])) / total if met[f][w] else 0
+            own = {k[1]: n for k, n in pairs[f].items() if k[0] == v}
+            if own:
+                low = low * sum(map(d2, own.values())) / sum(own.values())
+                low += (own[w] - d2(own[w])) / sum(own.values()) if w in own else 0
+            out += np.log(low)
+        return out
+
+    got = {r.doc_id: r.logp for r in d.join(perplexity.text_scores(d, table, values, shares).withColumnRenamed("text", "h"), F.xxhash64(d.text) == F.col("h")).collect()}
+    assert len(got) == 42
+    for i, t in enumerate([*texts, "a a zz b", texts[0]]):
+        assert abs(got[i] - logp(t, 1 - folds[i])) < 1e-3, i
+
+
 def test_classifier_odd_cases(spark, odd, none):
     labels = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (None, 1, 0), (3, 1, None)], "doc_id long, quality int, toxic int")
     assert [r.doc_id for r in perplexity.trusted_ids(labels).collect()] == [3]
