@@ -121,20 +121,31 @@ def edges(f: DataFrame, near_title: float = 0.96) -> DataFrame:
     return sure.where("rule IS NOT NULL").select("a", "b", "rule").unionByName(close.select("a", "b", F.lit("RATIO").alias("rule")))
 
 
-def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(node, root): the least node that can be reached, by least neighbours and pointer jumping."""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = both.checkpoint()
-    label = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).checkpoint()
+def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
+    """(node, root) of all nodes of ``links`` (a, b): the least node that can be reached.
+
+    Each round is a large-star and a small-star step: every neighbour above a node is linked with the least neighbour, then
+    every neighbour below a node, and the node, with the least one.  The rounds end when the links are stars, after about
+    the logarithm of the longest path; what has not settled by then is an error, never a result.
+    """
+    ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    seen = ordered.where("a <> b").distinct().checkpoint()
+    # a node that only links to itself is a component too
+    selfish = links.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+    before = None
     for _ in range(most_rounds):
-        near = both.join(label.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        low = label.join(near, "a").select("a", F.least("root", "near").alias("low"), "root")
-        up = label.select(F.col("a").alias("low"), F.col("root").alias("top"))
-        after = low.join(up, "low").select("a", F.least("low", "top").alias("root"), F.col("root").alias("was")).checkpoint()
-        if after.where("root <> was").isEmpty():
-            break
-        label = after.select("a", "root")
-    return label.select(F.col("a").alias("node"), "root")
+        now = seen.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == before:
+            below = seen.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            found = below.unionByName(seen.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            return found.unionByName(selfish.join(found.select("node"), "node", "left_anti"))
+        both = seen.unionByName(seen.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        seen, before = small.unionByName(low.select("a", F.col("m").alias("b"))).distinct().checkpoint(), now
+    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def clusters(f: DataFrame, links: DataFrame) -> DataFrame:

@@ -96,6 +96,23 @@ def test_greedy_clusters(spark):
     assert {r.obs_ord: r.cluster for r in got} == {m: c[0] for c in plain for m in c}
 
 
+def test_components_of_long_paths(spark):
+    """Paths of 300 nodes, one in an order that lets labels creep, are one component each; no node is in two clusters."""
+    use_checkpoints(spark)
+    one = list(range(300))
+    two = [1000 + i for i in one]
+    random.Random(7).shuffle(two)
+    links = [tuple(sorted(p)) for path in (one, two) for p in zip(path, path[1:])]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r.node: r.root for r in linkage.components(df).collect()}
+    assert got == {x: x // 1000 * 1000 for x in (*one, *two)}
+    with pytest.raises(RuntimeError):
+        linkage.components(df, 3)
+    f = spark.createDataFrame([(x,) for x in got], "obs_ord long")
+    rows = linkage.clusters(f, df).collect()
+    assert len(rows) == len({r.obs_ord for r in rows}) == 600
+
+
 def test_title_ratio_keeps_its_order(spark):
     a, b = "tide", "diet"
     got = values(spark, linkage.title_ratio(F.col("x"), F.col("y")), (a, b), (b, a), schema="x string, y string")
