@@ -3,18 +3,21 @@ r"""Personal data, in DataFrame functions only: generators, boosted trees over f
 1. Base kinds (email, ip, card, phone) are matched leftmost and non-overlapping, then validated.
 2. High-recall generators propose further spans, which may overlap each other and base spans.
 3. Every candidate gets a cell: 13 bits of format and context features.  Validators give weak labels (a candidate that
-   passes its kind's validator is positive, one that fails is negative; kinds without a validator are
-   unlabelled).  Trees of depth two are boosted on the counts of the cells, which are complete statistics of all
+   passes its kind's validator is positive, one that fails is negative; a national phone is positive if its digits are
+   as many as a phone's and a cue for phones stands before it).  Trees of depth two are boosted on the counts of the cells, which are complete statistics of all
    candidates and at most 4 * 8192 numbers, whatever the input; scoring is one native expression.
-4. The threshold of a group of generators is the lowest one at which its held-out candidates reach ``precision``;
-   spans at or above it that do not touch a base span are added.  Base spans always stay.
+4. A candidate that fails its validator is never added.  One that passes is added where the validator decides on its own
+   (``DECIDED``: every selected one is positive, so no threshold can raise the precision).  A national phone passes by its
+   length alone, so it is added at or above the lowest score at which the held-out ones that pass reach ``precision``.
+   Spans that touch a base span are not added.  Base spans always stay.
 
 Matches are found by ``regexp_extract_all`` and placed by the lengths of the pieces that ``split`` leaves between
 them; both walk the same matches.  Repetitions of groups are possessive, which gives the same matches (nothing
 follows them) without recursion, and runs are entered at their start only, so long runs take linear time.
 
 Defined cases: a null text is empty and has no spans; null ids pass through; repeated rows are scanned one by one; an
-empty table gives an empty result; without labelled candidates nothing is added; extra columns are ignored by
+empty table gives an empty result; without held-out national phones their threshold is the score at which the trees
+themselves give ``precision``; extra columns are ignored by
 ``find_personal_data`` and kept by ``redacted_documents``.
 """
 
@@ -31,6 +34,8 @@ from .common import written
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("spelled_email", "number_group", "iban", "national_id", "dotted_quad", "national_phone")
 KINDS = (*BASE, *ADDED)
+#: Kinds whose validator or strict form decides.
+DECIDED = ("spelled_email", "number_group", "iban", "national_id", "dotted_quad")
 
 _LOCAL = r"A-Za-z0-9._%+-"
 #: kind: (pattern, a short pattern that every match holds, tried first)
@@ -55,6 +60,7 @@ CUES = (
     "phone", "tel", "call", "mobile", "fax", "mail", "contact", "write", "reach", "card", "visa", "iban", "account",
     "ssn", "passport", "address", "server", "host", "login",
 )
+PHONE_CUES = ("phone", "tel", "call", "mobile", "fax", "contact", "reach")
 WINDOW, BLOCK = 32, 128
 
 
@@ -63,8 +69,6 @@ class Boosting:
     rounds: int = 24
     rate: float = 0.4
     precision: float = 0.98
-    #: Labelled held-out candidates that a threshold must rest on.
-    support: int = 20
 
 
 def _longs(x: Column) -> Column:
@@ -136,21 +140,35 @@ def _mod97(value: Column) -> Column:
     return F.aggregate(places, F.lit(0), step) == 1
 
 
-def _valid(kind: str, value: Column) -> Column | None:
-    """The validator of a kind, or none."""
+def _valid(kind: str, value: Column) -> Column:
+    """The validator of a kind."""
     if kind in ("email", "spelled_email"):
-        return F.lit(True) if kind == "email" else None
+        return F.lit(True)
     if kind in ("ip", "dotted_quad"):
         return _octets(value)
     n = F.length(_digits(value))
     if kind in ("card", "number_group"):
         # the check is made for values of fitting length only, so its arrays stay short
         return F.when(n.between(12, 19), luhn(F.substring(_digits(value), 1, 19))).otherwise(False)
-    if kind == "phone":
+    if kind in ("phone", "national_phone"):
         return n.between(9, 15)
     if kind == "iban":
         return _mod97(value)
-    return None
+    # areas 000, 666 and from 900, groups 00 and serials 0000 are never issued
+    return ~value.rlike("^(?:000|666|9)|-00-|-0000$")
+
+
+def _cued(before: Column, words: tuple[str, ...]) -> Column:
+    cue = F.lit(False)
+    for word in words:
+        cue = cue | F.contains(before, F.lit(word))
+    return cue
+
+
+def _label(kind: str, m: Column) -> Column:
+    """Whether a candidate is a positive example."""
+    valid = _valid(kind, m["value"])
+    return valid & _cued(m["before"], PHONE_CUES) if kind == "national_phone" else valid
 
 
 def _cell(kind: str, m: Column) -> Column:
@@ -158,9 +176,7 @@ def _cell(kind: str, m: Column) -> Column:
     value, before, after = m["value"], m["before"], m["after"]
     prior = F.right(before, F.lit(1))
     n = F.length(_digits(value))
-    cue = F.lit(False)
-    for word in CUES:
-        cue = cue | F.contains(before, F.lit(word))
+    cue = _cued(before, CUES)
     group = {"email": 0, "spelled_email": 0, "ip": 1, "dotted_quad": 1, "card": 2, "number_group": 2, "iban": 3, "phone": 4, "national_phone": 4, "national_id": 5}[kind]
     bits = [
         cue,
@@ -192,13 +208,13 @@ def _span(rank: int):
 
 def _described(kind: str, rank: int):
     def described(m: Column) -> Column:
-        label = _valid(kind, m["value"])
         return F.struct(
             m["start"].alias("start"),
             F.lit(rank).alias("rank"),
             m["end"].alias("end"),
             _cell(kind, m).alias("cell"),
-            (F.lit(None).cast("int") if label is None else label.cast("int")).alias("label"),
+            _label(kind, m).cast("int").alias("label"),
+            _valid(kind, m["value"]).alias("valid"),
             F.pmod(F.xxhash64(m["value"]), F.lit(4)).cast("int").alias("fold"),
         )
 
@@ -206,7 +222,7 @@ def _described(kind: str, rank: int):
 
 
 def candidates(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc_id, base, more): spans of the base kinds, and all candidates with cell, label (null: none) and fold."""
+    """(doc_id, base, more): spans of the base kinds, and all candidates with cell, label, validity and fold."""
     only = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     found = only.withColumns({f"m_{k}": _matches("text", k) for k in KINDS})
     base, more = [], []
@@ -219,8 +235,10 @@ def candidates(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def cell_counts(found: DataFrame) -> np.ndarray:
-    """Labelled candidates by held-out, cell and label: 2 by 8192 by 2."""
+    """Candidates by held-out, cell and label: 2 by 8192 by 2; held out are only those that a threshold may select."""
     each = found.select(F.explode("more").alias("c")).where("c.label IS NOT NULL")
+    scored = [KINDS.index(k) for k in ADDED if k not in DECIDED]
+    each = each.where((F.col("c.fold") != 0) | (F.col("c.rank").isin(scored) & F.col("c.valid")))
     rows = each.groupBy((F.col("c.fold") == 0).cast("int").alias("h"), "c.cell", "c.label").count().collect()
     out = np.zeros((2, CELLS, 2))
     for h, cell, label, n in rows:
@@ -283,7 +301,7 @@ def _lowest(s: np.ndarray, held: np.ndarray, how: Boosting) -> float | None:
     pos, n, best = np.cumsum(held[order, 1]), np.cumsum(held[order].sum(1)), None
     for i, cell in enumerate(order):
         last = i + 1 == len(order) or s[order[i + 1]] < s[cell]
-        if last and n[i] >= how.support and pos[i] >= how.precision * n[i]:
+        if last and pos[i] >= how.precision * n[i]:
             best = float(s[cell])
     return best
 
@@ -291,14 +309,14 @@ def _lowest(s: np.ndarray, held: np.ndarray, how: Boosting) -> float | None:
 def thresholds(trees, held: np.ndarray, how: Boosting) -> list[float | None]:
     """For each group of generators the lowest score at which its held-out candidates reach the precision.
 
-    A group whose kinds have no validator takes the threshold of all groups together; none means that
-    nothing of the group is added.
+    None means that no score reaches it, and nothing of the group is added; a group without held-out candidates takes the
+    score at which the trees themselves give the precision.
     """
     s, groups = scores(trees), np.arange(CELLS) >> 10
     out: list[float | None] = []
     for g in range(GROUPS):
         own = np.where((groups == g)[:, None], held, 0)
-        out.append(_lowest(s, own if own.sum() else held, how))
+        out.append(_lowest(s, own, how) if own.sum() else float(np.log(how.precision / (1 - how.precision))))
     return out
 
 
@@ -319,17 +337,17 @@ def _selected(found: DataFrame, how: Boosting) -> DataFrame:
     trees = boosted(counts[0], how)
     first = len(BASE)
     limits = F.array(*[F.lit(x).cast("double") for x in thresholds(trees, counts[1], how)])
+    decided = [KINDS.index(k) for k in DECIDED]
     # no limit is null, and a comparison with null selects nothing
     good = F.filter(
         "more",
         lambda c: (c["rank"] >= first)
-        & (_score(trees, c["cell"]) >= F.get(limits, F.shiftright(c["cell"], 10)) - F.lit(1e-9)),
+        & c["valid"]
+        & (c["rank"].isin(decided) | (_score(trees, c["cell"]) >= F.get(limits, F.shiftright(c["cell"], 10)) - F.lit(1e-9))),
     )
     free = F.filter(
         good, lambda c: ~F.exists(F.col("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
     )
-    # a validator that fails speaks against any score
-    free = F.filter(free, lambda c: F.coalesce(c["label"], F.lit(1)) == 1)
     bare = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["rank"].alias("rank"), c["end"].alias("end")))
     return found.withColumn("added", F.array_distinct(bare))
 

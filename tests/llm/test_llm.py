@@ -467,6 +467,31 @@ def test_personal_data(spark, texts, none):
     assert sorted(map(str, (tuple(r) for r in pii.redacted_documents(two).collect()))) == ["(1, 'mail [EMAIL] now [IP]', 7)", "(None, None, 8)"]
 
 
+def test_planted_spans_are_added(spark):
+    """Valid spans are added on any number of rows, however many codes of their shape fail the check."""
+    valid = {
+        "iban": "GB82 WEST 1234 5698 7654 32", "number_group": "4111.1111.1111.1111",
+        "national_id": "123-45-6789", "spelled_email": "jo.doe [at] mail [dot] org",
+    }
+    wrong = ["code GB83 WEST 1234 5698 7654 32 here", "code 4111.1111.1111.1112 here", "code 000-45-6789 here"]
+    r = random.Random(8)
+    noise = [f"part GB{r.randrange(10, 99)} WEST {r.randrange(1000, 9999)} {r.randrange(1000, 9999)} no, {r.randrange(1000, 9999)}.1234.5678.{r.randrange(1000, 9999)}." for _ in range(400)]
+    for more in ([], noise):
+        rows = [*(f"see {v} there" for v in valid.values()), *wrong, *more]
+        df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        got = {x.doc_id: x.spans for x in pii.find_personal_data(df).where("doc_id < 7").collect()}
+        for i, (kind, v) in enumerate(valid.items()):
+            assert f"{kind}:4:{4 + len(v)}" in got[i].split(","), (kind, len(more), got[i])
+        assert not any(got[i] for i in (4, 5, 6)), got
+
+
+def test_national_phones_by_their_cues(spark):
+    rows = [f"call us by phone {20 + i % 70} {1000 + i} {2000 + i} now" for i in range(200)] + [f"lot {20 + i % 70} {3000 + i} {4000 + i} now" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = [("national_phone" in x.spans, x.doc_id < 200) for x in pii.find_personal_data(df).collect()]
+    assert all(a == b for a, b in got)
+
+
 def test_boosting_learns_from_counts():
     counts = np.zeros((pii.CELLS, 2))
     counts[:, 1] = (np.arange(pii.CELLS) >> 7) & 1
