@@ -12,8 +12,8 @@ symbol, is compared with quantiles of the trusted documents of its language; sho
 proportion to the deviation of their mean.
 
 Defined cases: a null or empty text has no perplexity and is rejected; a null language is a language of its own;
-languages with fewer than ``least`` trusted documents use the quantiles of all; without any trusted text every
-non-empty document is kept; null ids are never trusted; repeated ids are trusted if any of their labels
+every language has cuts of its own at any number of trusted documents, and non-empty documents of a language without trusted
+text are kept; null ids are never trusted; repeated ids are trusted if any of their labels
 is good and none is bad; an empty table gives an empty result; extra columns are ignored by ``scored`` and kept by
 ``kept_documents``.
 """
@@ -50,8 +50,10 @@ class Limits:
     high: float = 0.995
     #: Room in nats for a text of one symbol; it shrinks with the root of the length.
     slack: float = 3.0
-    #: Trusted documents that a language needs for quantiles of its own.
-    least: int = 100
+    #: Trusted documents at which a language's own quantiles weigh as much as those of all.
+    shrink: float = 100.0
+    #: Deviations of room for a median of one document; it shrinks with the root of their number.
+    deviations: float = 2.0
     #: Ids that may be broadcast; more are joined.
     most_broadcast: int = 1_000_000
 
@@ -459,6 +461,31 @@ def scored(docs: DataFrame, scores: DataFrame, keep: list[str]) -> DataFrame:
     return met.select(*[F.col(f"`{c}`") for c in keep], "__n", F.when(F.col("__n") > 0, -F.col("logp") / F.col("__n")).alias("__nll"))
 
 
+def language_cuts(good: DataFrame, limits: Limits) -> DataFrame:
+    """(__lang, __low, __high) from the trusted documents' lang, __nll and __room, at any number of them.
+
+    A cut is the language's own median and a distance from it.  The distance is that of the own quantile, shrunk towards
+    the quantile of all documents' distances from their languages' medians by n / (n + shrink); the median of n documents has
+    room by the deviation of all over sqrt(n).  So no language is ever measured by the level of another.  Quantiles are
+    taken without the room that short texts get, as a short text's stray would else be everyone's room.
+    """
+    middle = written(good.groupBy("lang").agg(F.percentile_approx("__nll", 0.5, 10_000).alias("__mid"), F.count("*").alias("__count")), "middles")
+    away = good.join(middle.withColumnRenamed("lang", "__lang"), F.col("lang").eqNullSafe(F.col("__lang")))
+    away = away.select("__lang", "__mid", "__count", (F.col("__nll") - F.col("__mid")).alias("x"), "__room")
+    # within its room a document is where the median is
+    below = F.percentile_approx(F.least(F.col("x") + F.col("__room"), F.lit(0.0)), limits.low, 10_000)
+    above = F.percentile_approx(F.greatest(F.col("x") - F.col("__room"), F.lit(0.0)), limits.high, 10_000)
+    every = away.agg(below.alias("below"), above.alias("above"), F.sqrt(F.avg(F.col("x") * F.col("x"))).alias("spread")).first()
+    share = F.col("__count") / (F.col("__count") + limits.shrink)
+    room = F.lit(every["spread"]) * limits.deviations / F.sqrt("__count")
+    shrunk = lambda own, all_: share * F.col(own) + (1 - share) * F.lit(all_)
+    return away.groupBy("__lang", "__mid", "__count").agg(below.alias("below"), above.alias("above")).select(
+        "__lang",
+        (F.col("__mid") + shrunk("below", every["below"]) - room).alias("__low"),
+        (F.col("__mid") + shrunk("above", every["above"]) + room).alias("__high"),
+    )
+
+
 def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, keep: list[str]) -> DataFrame:
     """``scored`` with __low and __high of the language, and __kept."""
     ids = written(trusted_ids(labels), "trusted")
@@ -470,19 +497,15 @@ def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, keep: list[str])
     by_text = written(text_scores(docs, table, values, shares), "texts")
     forget(values)
     scores = scored(docs, by_text, ["doc_id", "lang"])
+    # the mean of n symbols strays by about 1 / sqrt(n)
+    room = F.lit(limits.slack) / F.sqrt(F.greatest("__n", F.lit(1)))
     good = scores.where("__nll IS NOT NULL").join(ids, "doc_id", "left_semi")
-    cuts = F.percentile_approx("__nll", [limits.low, limits.high], 10_000)
-    every = good.agg(F.count("*").alias("n"), cuts.alias("cuts")).first()
-    low, high = every["cuts"] if every["n"] else (0.0, float("inf"))
-    own = good.groupBy("lang").agg(F.count("*").alias("n"), cuts.alias("cuts")).where(F.col("n") >= limits.least)
     # one row a language: written, so that the planner sees its size before it picks the join
-    own = written(own.select(F.col("lang").alias("__lang"), F.col("cuts").alias("__cuts")), "cuts")
+    own = written(language_cuts(good.withColumn("__room", room), limits), "cuts")
     again = scores if keep == ["doc_id", "lang"] else scored(docs, by_text, keep)
     met = again.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumns(
-        {"__low": F.coalesce(F.get("__cuts", F.lit(0)), F.lit(low)), "__high": F.coalesce(F.get("__cuts", F.lit(1)), F.lit(high))}
+        {"__low": F.coalesce("__low", F.lit(float("-inf"))), "__high": F.coalesce("__high", F.lit(float("inf")))}
     )
-    # the mean of n symbols strays by about 1 / sqrt(n)
-    room = F.lit(limits.slack) / F.sqrt(F.greatest("__n", F.lit(1)))
     kept = F.col("__nll").between(F.col("__low") - room, F.col("__high") + room)
     return met.withColumn("__kept", F.coalesce(kept, F.lit(False)))
 

@@ -216,6 +216,22 @@ def test_classifier_on_labels(spark):
     assert n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.99 and n[0, False] / (n[0, False] + n.get((0, True), 0)) > 0.7
 
 
+def test_rare_languages_have_cuts_of_their_own(spark):
+    """One language at a far level keeps its clean documents with 3 or 300 trusted ones; one without any is kept."""
+    limits, r = perplexity.Limits(), random.Random(4)
+    for few in (1, 3, 99, 101, 300):
+        rows = [("en", 1.5 + r.gauss(0, 0.05), 0.01) for _ in range(500)] + [("xx", 6 + r.gauss(0, 0.05), 0.01) for _ in range(few)]
+        got = {x["__lang"]: x for x in perplexity.language_cuts(spark.createDataFrame(rows, "lang string, __nll double, __room double"), limits).collect()}
+        assert 5 < got["xx"]["__low"] < 5.95 and 6.05 < got["xx"]["__high"] < 7, few
+        assert 1 < got["en"]["__low"] < 1.45 and 1.55 < got["en"]["__high"] < 2, few
+    clean = "the cat and the dog sat on the mat and the rug"
+    d = [(i, f"{clean} {i % 7} {clean}", "en") for i in range(300)] + [(300 + i, f"жжщ {i % 5} ъъы эюя " * 20, "xx") for i in range(8)]
+    d += [(400, "ωψχ φυτ " * 40, "yy"), (401, "ωψχ φυτ " * 40, "en")]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(304)], "doc_id long, quality int, toxic int")
+    kept = {x.doc_id: x.kept for x in perplexity.classified(spark.createDataFrame(d, "doc_id long, text string, lang string"), labels).collect()}
+    assert all(kept[300 + i] for i in range(8)) and kept[400] and not kept[401]
+
+
 def test_word_order_counts(spark):
     """Shuffled words have the characters and words of a fluent text, and no higher score under a model of characters alone."""
     words = [f"x{a}{b}x" for a in "abcde" for b in "fghij"]
