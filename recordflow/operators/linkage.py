@@ -52,7 +52,9 @@ def containment_pairs(f: DataFrame, least: float) -> DataFrame:
     rare = F.row_number().over(W.partitionBy("obs_ord").orderBy("df", "g"))
     # shingles found once never pair: they fill the rarest places of the prefix
     kept = shared.withColumn("at", rare).withColumn("m", F.count("*").over(W.partitionBy("obs_ord")))
-    head = kept.where(F.col("at") + (F.col("n") - F.col("m")) <= F.col("n") - F.ceil(F.col("n") * F.lit(least)) + 1)
+    # a product in doubles may lie just above the whole number that it stands for, and cut the prefix by one too many
+    common = F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9))
+    head = kept.where(F.col("at") + (F.col("n") - F.col("m")) <= F.col("n") - common + 1)
     small = head.select(F.col("obs_ord").alias("s"), F.col("n").alias("sn"), "g")
     large = shared.select(F.col("obs_ord").alias("l"), F.col("n").alias("ln"), "g")
     first = (F.col("sn") < F.col("ln")) | ((F.col("sn") == F.col("ln")) & (F.col("s") < F.col("l")))

@@ -96,6 +96,19 @@ def test_greedy_clusters(spark):
     assert {r.obs_ord: r.cluster for r in got} == {m: c[0] for c in plain for m in c}
 
 
+def test_containment_at_the_threshold(spark):
+    """Pairs that share exactly 55 of 100 shingles are found where 0.55 * n lies above its whole number in doubles."""
+    rows = []
+    for at, n in enumerate((20, 100, 180, 200, 220, 340)):
+        common = [at * 10_000 + i for i in range(n * 55 // 100)]
+        for side in (0, 1):
+            alone = [at * 10_000 + 1000 * (side + 1) + i for i in range(n - len(common))]
+            rows.append((2 * at + side, common + alone))
+        rows.append((100 + at, common[1:] + [at * 10_000 + 5000 + i for i in range(n - len(common) + 1)]))  # one too few
+    got = linkage.containment_pairs(spark.createDataFrame(rows, "obs_ord long, grams array<long>"), 0.55)
+    assert {(r.a, r.b): r.containment for r in got.collect()} == {(2 * i, 2 * i + 1): 0.55 for i in range(6)}
+
+
 def test_components_of_long_paths(spark):
     """Paths of 300 nodes, one in an order that lets labels creep, are one component each; no node is in two clusters."""
     use_checkpoints(spark)
