@@ -99,6 +99,7 @@ class _Sequence(HTMLParser):
         self.items: list[dict] = []
         self.text: list[str] = []
         self.skip = 0
+        self.head = False
         self.figures: list[int] = []
         self.caption: list[str] | None = None
 
@@ -109,8 +110,12 @@ class _Sequence(HTMLParser):
             self.items.append({"kind": "text", "text": text, "ref": None, "caption": None})
 
     def handle_starttag(self, tag, attrs):
-        if tag in _SKIP:
+        if tag == "head":
+            self.head = True
+        elif tag in _SKIP:
             self.skip += 1
+        elif tag == "body" or tag in _BLOCK or tag in _MEDIA:
+            self.head = self.head and self.skip > 0  # a head may end without a tag
         if tag in _BLOCK:
             self.flush()
         if tag == "figure":
@@ -118,14 +123,18 @@ class _Sequence(HTMLParser):
         if tag == "figcaption":
             self.caption = []
         a = dict(attrs)
-        if tag in _MEDIA and a.get("src") and not self.skip:
+        if tag in _MEDIA and a.get("src") and not self.skip and not self.head:
             self.flush()
             self.items.append({"kind": "media", "text": None, "ref": a["src"], "caption": a.get("alt") or None})
 
-    handle_startendtag = handle_starttag
+    def handle_startendtag(self, tag, attrs):
+        if tag not in _SKIP:  # nothing is inside
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in _SKIP and self.skip:
+        if tag == "head":
+            self.head = False
+        elif tag in _SKIP and self.skip:
             self.skip -= 1
         if tag == "figcaption" and self.caption is not None:
             caption, self.caption = " ".join("".join(self.caption).split()), None
@@ -138,7 +147,7 @@ class _Sequence(HTMLParser):
             self.figures.pop()
 
     def handle_data(self, data):
-        if self.skip:
+        if self.skip or self.head:
             return
         (self.text if self.caption is None else self.caption).append(data)
 

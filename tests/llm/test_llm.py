@@ -200,6 +200,12 @@ def test_sequences(spark):
     assert got == {1: 64, 3: None}
 
 
+def test_open_heads_and_empty_tags_hide_nothing():
+    """A head without an end tag stops at the body or the first block; a self-closing tag holds nothing."""
+    for page in ("<head><title>t</title><body>a<img src=x>", "<head><title>t</title><p>a</p><img src=x>", "<body><script/><template/>a<img src=x>"):
+        assert [x["text"] or x["ref"] for x in media.sequence(page)] == ["a", "x"], page
+
+
 # --- 4 ---------------------------------------------------------------------------------------------------------
 
 
