@@ -63,9 +63,13 @@ def drop_written() -> None:
 atexit.register(drop_written)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the Arrow batches that hold whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Bytes of an Arrow batch; one bound for all operators, so no plan depends on what is built after it.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that hold whole texts by their bytes, whatever the number of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def joined_spans(spans: list[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:

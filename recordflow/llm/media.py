@@ -210,7 +210,7 @@ def _features(batches):
 
 def resolved(refs: DataFrame, media: DataFrame) -> DataFrame:
     """``refs`` with the features of the payloads that ``media`` (digest, media) stores; unresolved ones keep nulls."""
-    small_batches(media.sparkSession, 500)
+    small_batches(media.sparkSession)
     read = media.select("digest", "media").mapInArrow(_features, f"digest string, {FEATURES}")
     return refs.join(read.dropDuplicates(["digest"]), "digest", "left")
 
@@ -236,7 +236,7 @@ def _pages(batches):
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Stores every text as media, then resolves each document's reference from the stored table."""
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession)
     only = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = only.schema["doc_id"].dataType.simpleString()
     pages = only.mapInArrow(_pages, f"doc_id {kind}, n_bytes long, html string, digest string, media binary")

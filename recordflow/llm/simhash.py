@@ -293,12 +293,12 @@ def _verified(batches):
 
 def links(distinct: DataFrame) -> DataFrame:
     """Spanning links (a, b) of all pairs of ``distinct`` (fp) with LIMIT or fewer differing bits."""
-    spark, sc = distinct.sparkSession, distinct.sparkSession.sparkContext
+    sc = distinct.sparkSession.sparkContext
     n = distinct.count()
     groups = bit_groups(distinct, n)
     counts = histograms(distinct, groups)
     chosen = thresholds(counts)
-    # blocks a key: 64 KB for each mask of a chosen threshold, whatever the input
+    # blocks a key: 256 KB for each mask of a chosen threshold, whatever the input
     blocks = [
         [sc.broadcast(np.maximum(1, -(-blanked(counts[k], m) // BLOCK)).astype(np.int32)) for m in masks(t)]
         for k, t in enumerate(chosen)
@@ -307,7 +307,6 @@ def links(distinct: DataFrame) -> DataFrame:
         _probes(groups, chosen, blocks), "probe int, value int, lo int, hi int, fp long"
     )
     key = ["probe", "value", "lo", "hi"]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
     return probes.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verified, "a long, b long")
 
 
