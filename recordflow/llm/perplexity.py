@@ -1,54 +1,61 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of words of trusted text, thresholds by language.
+"""Quality classifier: interpolated modified Kneser-Ney model of bytes of trusted text, sharded joins, language quantiles.
 
-The model counts pairs of words over all trusted texts (whole, no sample), and spells words by trigrams of 128 character
-symbols.  Pair counts are summed by key, and joined with the totals and continuation counts of their words.  They grow with
-the corpus, so the documents' distinct words and pairs are sent to shards of the keys' range, where they meet the model's;
-only sums by text come back.  The character table has at most 128**3 entries whatever the input (8 MB) and is broadcast: it
-is what the word model backs off to for words it has not seen.
+The model counts strings of six bytes over all trusted texts (whole, no sample), five bytes of context and the byte after
+them; its lower orders count in how many contexts a shorter string continues.  Texts begin with bytes that no UTF-8 holds, and
+end with another.
 
-A word model remembers its texts.  So trusted texts are dealt into two folds by the hash of the text, each with counts of its
+1. Counts.  Every task sums the strings of its trusted texts, and sends them packed by shard.  A shard is a set of pairs of
+   the last two bytes of a context, so that it holds everything that orders six to three of its strings need; order two and
+   below come from at most 65536 numbers that are collected and broadcast.  The model is written, one row a shard and fold.
+2. Requests.  Texts are dealt to chunks by their hash, compressed; a chunk sends each shard the distinct strings of its
+   texts, sorted and packed.  There they meet the model, one packet at a time, and their log-probabilities go back to the chunk.
+3. Scores.  The chunk joins the answers and sums them by text.  The texts are dealt once: both uses read one exchange.
+
+A model remembers its texts.  So trusted texts are dealt into two folds by the hash of the text, each with counts of its
 own, and every text, trusted or not, is scored by the fold that holds neither it nor its copies.  A document's perplexity, by
-symbol, is compared with quantiles of the trusted documents of its language; short texts get room in
+byte, is compared with quantiles of the trusted documents of its language; short texts get room in
 proportion to the deviation of their mean.
 
+What a task holds: the distinct strings of its chunk or of its shard's model, and one packet; chunks and shards grow in
+number with the input.  Equal texts are one text in a chunk, and one a task on the way, so a large group of copies is no load.
+
 Defined cases: a null or empty text has no perplexity and is rejected; a null language is a language of its own;
 every language has cuts of its own at any number of trusted documents, and non-empty documents of a language without trusted
 text are kept; null ids are never trusted; repeated ids are trusted if any of their labels
-is good and none is bad; an empty table gives an empty result; extra columns are ignored by ``scored`` and kept by
-``kept_documents``.
+is good and none is bad; without trusted text every byte is as likely as any other; an empty table gives an empty result;
+extra columns are ignored by ``classified`` and kept, whatever their names, by ``kept_documents``.
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import forget, small_batches, written
+from .common import small_batches, written
 
-V = 128
-PAIRS, TRIPLES = V * V, V * V * V
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Tell the keys of words from those of pairs, and the folds' from each other.
-WORD_SALT = np.array([0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A], np.uint64)
-PAIR_SALT = np.array([0xDAA66D2C7DDF743F, 0x78DDE6E5FD29F054], np.uint64)
-#: Characters whose n-grams are made distinct together; keys of a shard of the model.
-CHUNK, SHARD_KEYS = 4_000_000, 4_000_000
+ORDER = 6
+#: No UTF-8 holds these two bytes.
+EDGE, STOP = b"\xff" * (ORDER - 1), b"\xfe"
+#: What may follow a context: all bytes but that of the edge.
+SYMBOLS = 255
+#: Bytes of text whose strings are made together; bytes of a chunk's texts; distinct strings a task holds before it sends them.
+PIECE, CHUNK, HELD = 2 << 20, 16 << 20, 4 << 20
+#: Bytes of trusted text to a shard of the model, and shards at least and at most.
+SHARD_TEXT, SHARDS = 8 << 20, (64, 16_384)
 
 
 @dataclass(frozen=True)
 class Limits:
     low: float = 0.001
     high: float = 0.995
-    #: Room in nats for a text of one symbol; it shrinks with the root of the length.
+    #: Room in nats for a text of one byte; it shrinks with the root of the length.
     slack: float = 3.0
     #: Trusted documents at which a language's own quantiles weigh as much as those of all.
     shrink: float = 100.0
@@ -58,136 +65,104 @@ class Limits:
     most_broadcast: int = 1_000_000
 
 
-@lru_cache(1)
-def _symbols() -> np.ndarray:
-    """Symbol of each code point below 65536; 0 is the text's edge."""
-    out = np.empty(65536, np.uint8)
-    for c in range(65536):
-        x = chr(c)
-        kind = unicodedata.category(x)
-        if x == " ":
-            s = 1
-        elif x.isspace():
-            s = 2
-        elif kind == "Nd":
-            s = 3
-        elif "a" <= x <= "z":
-            s = 4 + c - 97
-        elif "A" <= x <= "Z":
-            s = 30 + c - 65
-        elif 33 <= c < 127:  # 32 marks, in order
-            s = 56 + c - (33 if c < 48 else 43 if c < 65 else 69 if c < 97 else 95)
-        elif kind in ("Lu", "Lt"):
-            s = 112 + c % 6
-        elif kind == "Ll":
-            s = 88 + c % 24
-        elif kind[0] in "LMN":
-            s = 118 + c % 8
-        else:
-            s = 126 if kind[0] in "PSZ" else 127
-        out[c] = s
-    return out
+# --- strings of six bytes --------------------------------------------------------------------------------------
 
 
-def symbols(text: str) -> np.ndarray:
-    """The text as symbols, with two edges before and one behind."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    high = codes > 65535
-    out = np.zeros(len(codes) + 3, np.int64)
-    out[2:-1] = _symbols()[np.where(high, 0, codes)]
-    if high.any():
-        out[2:-1][high] = 118 + codes[high] % 8
-    return out
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of all texts as numbers, and the number of strings of each text (its bytes and its end)."""
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    raw = b"".join(x for t in texts for x in (EDGE, t, STOP)) + b"\0\0"
+    n = len(raw) - 7
+    found = np.ndarray((n,), ">u8", raw, 0, (1,)).astype(np.uint64) >> np.uint64(16)
+    ends = np.cumsum(sizes + ORDER - 1)[:-1]  # strings that reach into the next text
+    across = np.ones(n, bool)
+    across[(ends[:, None] - np.arange(1, ORDER)).ravel()] = False
+    return found[across], sizes
 
 
-def trigrams(text: str) -> np.ndarray:
-    s = symbols(text)
-    return s[:-2] * PAIRS + s[1:-1] * V + s[2:]
+def _dealt(k: np.ndarray, shards: int) -> np.ndarray:
+    """Keys in the order of shards: shard, pair (the last two bytes of the context), the other bytes."""
+    pair = (k >> np.uint64(8)) & np.uint64(0xFFFF)
+    shard = ((np.arange(65536, dtype=np.uint64) * np.uint64(0x9E3779B1)) >> np.uint64(8)) % np.uint64(shards)
+    low = ((k >> np.uint64(24)) << np.uint64(8)) | (k & np.uint64(0xFF))
+    return (shard[pair.astype(np.int64)] << np.uint64(48)) | (pair << np.uint64(32)) | low
 
 
-def _counted(batches):
-    total = np.zeros(TRIPLES, np.int64)
-    for b in batches:
-        for t in b.column(0).to_pylist():
-            if t:
-                k, n = np.unique(trigrams(t), return_counts=True)
-                total[k] += n
-    k = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], ["key", "n"])
+def _natural(key: np.ndarray) -> np.ndarray:
+    """Keys of ``_dealt``, with or without their shard, as strings again."""
+    pair, low = (key >> np.uint64(32)) & np.uint64(0xFFFF), key & np.uint64(0xFFFFFFFF)
+    return ((low >> np.uint64(8)) << np.uint64(24)) | (pair << np.uint64(8)) | (low & np.uint64(0xFF))
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """Ids labelled good and never bad or toxic."""
-    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
-    votes = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
-    return votes.where("good").select("doc_id")
+def _pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in lists of about PIECE bytes; a longer text is a list of its own."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t) + ORDER
+        if size >= PIECE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
-def trigram_counts(docs: DataFrame, ids: DataFrame, limits: Limits) -> DataFrame:
-    """(key, n) over the whole texts of the trusted documents."""
-    small_batches(docs.sparkSession)
-    side = F.broadcast(ids) if ids.count() <= limits.most_broadcast else ids
-    texts = docs.join(side, "doc_id", "left_semi").select("text")
-    return texts.mapInArrow(_counted, "key int, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _counted(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found = pc.value_counts(pa.array(k))
+    keys, n = found.field(0).to_numpy(), found.field(1).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
 
 
-def _smoothed(counts: DataFrame, contexts: int) -> DataFrame:
-    """(key, ctx, keep, weight): (n - D(n)) / total, and the context's back-off weight; shards are contexts.
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    keys, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")  # sorted parts merge
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
-    ``contexts`` divides a key into its context and its last symbol.
-    """
-    of = counts.groupBy("n").agg(F.count("*").alias("k")).where("n <= 4").collect()
-    k = {int(r["n"]): r["k"] for r in of}
-    n1, n2, n3, n4 = (k.get(i, 0) for i in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    d = [max(0.0, min(x, i)) for i, x in ((1, 1 - 2 * y * n2 / n1 if n1 else 0.5), (2, 2 - 3 * y * n3 / n2 if n2 else 1.0), (3, 3 - 4 * y * n4 / n3 if n3 else 1.5))]
-    off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    keyed = counts.withColumn("ctx", F.floor(F.col("key") / contexts).cast("int")).withColumn("off", off)
-    totals = keyed.groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("removed"))
-    return keyed.join(totals, "ctx").select(
-        "key", "ctx", ((F.col("n") - F.col("off")) / F.col("total")).alias("keep"),
-        (F.col("removed") / F.col("total")).alias("weight"),
-    )
+
+def _pack(a: np.ndarray) -> bytes:
+    """Numbers of 4 or 8 bytes by planes: like bytes lie together."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def model(counts: DataFrame) -> np.ndarray:
-    """Log-probabilities of all 128**3 trigrams."""
-    counts = counts.select("key", "n")
-    second = counts.groupBy((F.col("key") % PAIRS).cast("int").alias("key")).agg(F.count("*").alias("n"))
-    first = second.groupBy((F.col("key") % V).cast("int").alias("key")).agg(F.count("*").alias("n"))
+def _unpack(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    def dense(size: int, smoothed: DataFrame, lower: np.ndarray) -> np.ndarray:
-        rows = smoothed.toPandas()
-        weight = np.ones(size // V)
-        weight[rows["ctx"].to_numpy()] = rows["weight"].to_numpy()
-        p = np.repeat(weight, V) * np.tile(lower, size // len(lower))
-        p[rows["key"].to_numpy()] += rows["keep"].to_numpy()
-        return p
 
-    one = dense(V, _smoothed(first, V), np.full(V, 1 / V))
-    two = dense(PAIRS, _smoothed(second, V), one)
-    three = dense(TRIPLES, _smoothed(counts, V), two)
-    return np.log(np.maximum(three, 1e-12)).astype(np.float32)
+def _pack_keys(keys: np.ndarray) -> bytes:
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
 
 
-def _rolled(h, left, right, xor):
-    """A 64-bit key rotated by seven places; shifts and ors are the same in numpy and in Spark."""
-    return xor(left(h, 7), right(h, 57))
+def _unpack_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(blob, np.uint64), dtype=np.uint64)
 
 
-def _pair_keys(v: np.ndarray, w: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    return _rolled(v, np.left_shift, np.right_shift, np.bitwise_or) ^ w ^ PAIR_SALT[fold]
+def _by_shard(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The shards of sorted keys, each with its slice."""
+    shard = (keys >> np.uint64(48)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(keys) else np.empty(0, np.int64)
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+        yield int(shard[a]), slice(a, b)
 
 
-def _pair_column(v: str, w: str, fold: str) -> Column:
-    """``_pair_keys`` in Spark."""
-    rolled = _rolled(F.col(v), F.shiftleft, F.shiftrightunsigned, lambda x, y: x.bitwiseOR(y))
-    return rolled.bitwiseXOR(F.col(w)).bitwiseXOR(_salted(PAIR_SALT, fold))
+_BARE = np.uint64((1 << 48) - 1)
 
 
-def _salted(salts: np.ndarray, fold: str) -> Column:
-    first, second = (int(x) for x in salts.view(np.int64))
-    return F.when(F.col(fold) == 0, F.lit(first).cast("long")).otherwise(F.lit(second).cast("long"))
+# --- counts of trusted texts -----------------------------------------------------------------------------------
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids labelled good and never bad or toxic."""
+    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+    votes = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
+    return votes.where("good").select("doc_id")
 
 
 def fold_of(text: str = "text") -> Column:
@@ -195,270 +170,312 @@ def fold_of(text: str = "text") -> Column:
     return F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(2)).cast("int")
 
 
-class _Words:
-    """Keys and spelling log-probabilities of words, kept for the words met so far in a task."""
-
-    def __init__(self, logp: np.ndarray | None):
-        self.logp, self.seen = logp, {}
-
-    def spelled(self, words: list[str]) -> np.ndarray:
-        """Log-probability of each word's characters and the space behind it, after spaces, under the character model."""
-        s = symbols("  " + "  ".join(words) + "  ")[2:-1]
-        each = self.logp[s[:-2] * PAIRS + s[1:-1] * V + s[2:]]
-        ends = np.cumsum([len(w) + 2 for w in words])
-        total = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
-        starts = ends - [len(w) + 2 for w in words]
-        # the word's characters and one space
-        return total[ends - 1] - total[starts]
-
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and spelling of distinct words."""
-        if len(self.seen) > 500_000:
-            self.seen = {}
-        new = [w for w in words if w not in self.seen]
-        if new:
-            spell = self.spelled(new) if self.logp is not None else np.zeros(len(new))
-            for w, x in zip(new, spell.tolist()):
-                self.seen[w] = (int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"), x)
-        both = [self.seen[w] for w in words]
-        return np.array([k for k, _ in both], np.uint64), np.array([x for _, x in both], np.float64)
-
-    def chunk(self, texts: list[str]):
-        """(keys, spelling, at, words, ends) of texts: the words of all, edge first, as places in ``keys``."""
-        lists = [WORD.findall(t) for t in texts]
-        flat = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
-        keys, spell = self.of(flat.dictionary.to_pylist())
-        # the edge is a word of its own, the empty one
-        edge, spelled = self.of([""])
-        sizes = np.array([len(x) for x in lists])
-        ends = np.cumsum(sizes + 1)
-        words = np.zeros(ends[-1], np.int64)
-        inner = np.ones(ends[-1], bool)
-        inner[ends - 1] = False
-        words[inner] = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        text = np.repeat(np.arange(len(texts)), sizes + 1)
-        before = np.zeros_like(words)
-        before[1:] = words[:-1]  # the last of a text is the edge, which is also before the next one's first
-        return np.concatenate([edge, keys]), np.concatenate([spelled, spell]), text, before, words
-
-
-def _chunks(batches, text: int, others: tuple[int, ...]):
-    """Lists of rows (text, others...) that hold up to about CHUNK characters together."""
-    held, size = [], 0
-    for b in batches:
-        for row in zip(b.column(text).to_pylist(), *(b.column(i).to_pylist() for i in others)):
-            if row[0]:
-                held.append(row)
-                size += len(row[0])
-                if size >= CHUNK:
-                    yield held
-                    held, size = [], 0
-    if held:
-        yield held
+_COUNTS = "shard int, fold int, keys binary, n binary"
 
 
-def pair_counts(docs: DataFrame, ids: DataFrame, table: np.ndarray, limits: Limits) -> DataFrame:
-    """(fold, v, w, n, spell): pairs of words in the whole texts of the trusted documents, summed.
+def _count(shards: int):
+    """(text, fold) to packets of counts."""
 
-    Rows without v tell a word's spelling.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    held = spark.sparkContext.broadcast(table)
+    def sent(fold, parts):
+        keys, n = _summed(parts)
+        out = [(s, fold, _pack_keys(keys[x] & _BARE), _pack(n[x])) for s, x in _by_shard(keys)]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["shard", "fold", "keys", "n"])
+
+    def run(batches):
+        held: list[list] = [[], []]
+        for b in batches:
+            folds = b.column(1).to_numpy(zero_copy_only=False)
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(0).to_pylist()]
+            for fold in (0, 1):
+                for piece in _pieces([t for t, f in zip(texts, folds) if f == fold and t]):
+                    held[fold].append(_counted(_dealt(grams(piece)[0], shards)))
+                    if sum(len(k) for k, _ in held[fold]) >= HELD:
+                        held[fold] = [_summed(held[fold])]
+                        if len(held[fold][0][0]) >= HELD // 2:
+                            yield sent(fold, held[fold])
+                            held[fold] = []
+        for fold in (0, 1):
+            if held[fold]:
+                yield sent(fold, held[fold])
+
+    return run
+
+
+def continuations(k: np.ndarray, n: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Strings and counts of orders six to three: below the top, how many different bytes stand before a string."""
+    order = np.argsort(k)
+    out = {ORDER: (k[order], n[order])}
+    for j in range(ORDER - 1, 2, -1):
+        shorter = out[j + 1][0] & np.uint64((1 << 8 * j) - 1)
+        out[j] = np.unique(shorter, return_counts=True)
+    return out
+
+
+def _merge(batches):
+    """Sorted packets to the model's rows (kind 0), and what the orders' discounts and order two need of a shard (kind 1)."""
+    names = ["kind", "shard", "fold", "keys", "n", "order", "code", "many"]
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64())
+    at, parts = None, []
+
+    def done():
+        shard, fold = at
+        keys, n = _summed(parts)
+        facts = []
+        orders = continuations(_natural(keys), n)
+        for j, (_, c) in orders.items():
+            code, many = np.unique(c[c <= 4], return_counts=True)
+            facts += [(j, int(x), int(y)) for x, y in zip(code, many)]
+        code, many = np.unique(orders[3][0] & np.uint64(0xFFFF), return_counts=True)
+        facts += [(2, int(x), int(y)) for x, y in zip(code, many)]
+        out = [(0, shard, fold, _pack_keys(keys), _pack(n), None, None, None)]
+        out += [(1, shard, fold, None, None, *x) for x in facts]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    for b in batches:
+        for shard, fold, keys, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if at != (shard, fold):
+                if parts:
+                    yield done()
+                at, parts = (shard, fold), []
+            parts.append((_unpack_keys(keys), _unpack(n, np.int64)))
+            if sum(len(k) for k, _ in parts[1:]) > len(parts[0][0]) + PIECE:
+                parts = [_summed(parts)]
+    if parts:
+        yield done()
+
+
+def counts(docs: DataFrame, ids: DataFrame, limits: Limits, shards: int) -> DataFrame:
+    """The written counts of the trusted documents' whole texts, rows of ``_merge``."""
+    small_batches(docs.sparkSession)
     side = F.broadcast(ids) if ids.count() <= limits.most_broadcast else ids
     texts = docs.join(side, "doc_id", "left_semi").select("text", fold_of().alias("fold"))
+    sent = texts.mapInArrow(_count(shards), _COUNTS).repartition(shards, "shard").sortWithinPartitions("shard", "fold")
+    rows = "kind int, shard int, fold int, keys binary, n binary, order int, code int, many long"
+    return written(sent.mapInArrow(_merge, rows), "model")
 
-    def run(batches):
-        words = _Words(held.value)
-        for rows in _chunks(batches, 0, (1,)):
-            keys, spell, at, v, w = words.chunk([r[0] for r in rows])
-            fold = np.array([r[1] for r in rows])[at]
-            m = len(keys)
-            pairs, n = np.unique((fold * m + v) * m + w, return_counts=True)
-            f, v, w = pairs // m // m, pairs // m % m, pairs % m
-            one = np.unique(f * m + w)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([f, one // m]).astype(np.int32)),
-                    pa.array(np.concatenate([keys[v], keys[one % m]]).view(np.int64), mask=np.arange(len(f) + len(one)) >= len(f)),
-                    pa.array(np.concatenate([keys[w], keys[one % m]]).view(np.int64)),
-                    pa.array(np.concatenate([n, np.zeros(len(one), np.int64)])),
-                    pa.array(np.concatenate([np.zeros(len(f)), spell[one % m]])),
-                ],
-                ["fold", "v", "w", "n", "spell"],
-            )
-
-    each = texts.mapInArrow(run, "fold int, v long, w long, n long, spell double")
-    return each.groupBy("fold", "v", "w").agg(F.sum("n").alias("n"), F.min("spell").alias("spell"))
-
-
-def _discount(counts: DataFrame) -> Column:
-    """The modified Kneser-Ney discount of ``n``, from the counts of counts; never nothing, so that each context backs off."""
-    k = {int(r["n"]): r["k"] for r in counts.groupBy("n").agg(F.count("*").alias("k")).where("n <= 4").collect()}
-    n1, n2, n3, n4 = (k.get(i, 0) for i in (1, 2, 3, 4))
+
+# --- probabilities ---------------------------------------------------------------------------------------------
+
+
+def discounts(n: dict[int, int]) -> tuple[float, float, float]:
+    """Modified Kneser-Ney discounts of counts 1, 2 and more, from how many strings have the counts 1 to 4; never nothing."""
+    n1, n2, n3, n4 = (n.get(i, 0) for i in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    d = [min(max(x, 0.1), i - 0.1) for i, x in zip((1, 2, 3), d)]
-    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    d = (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5)
+    return tuple(min(max(x, 0.1), i - 0.1) for i, x in zip((1, 2, 3), d))
 
 
-def word_model(counts: DataFrame) -> tuple[DataFrame, list[float]]:
-    """(key, value) of all words and pairs, and for each fold the log-share of spelled words.
+def _off(n: np.ndarray, d: tuple) -> np.ndarray:
+    return np.array((0.0, *d))[np.minimum(n, 3)]
 
-    p(w) = (N(w) - D) / N + g p_spelled(w) with continuation counts N, and p(w | v) = (n(vw) - D) / n(v) + b(v) p(w).
-    So log p(w | v) = [log g p_spelled(w)] + [log p(w) - log g p_spelled(w)] + [log b(v)] + [log p(w | v) - log b(v) p(w)]:
-    the first is known without the counts, the second and third are the value of a word (as each word and edge of a text is
-    once met and once context), the fourth that of a pair; what was not seen has the value nought.
-    """
-    pairs = counts.where("v IS NOT NULL").select("fold", "v", "w", "n")
-    contexts = pairs.withColumn("off", _discount(pairs)).groupBy("fold", F.col("v").alias("x")).agg(F.sum("n").alias("total"), F.sum("off").alias("removed"))
-    met = written(pairs.groupBy("fold", F.col("w").alias("x")).agg(F.count("*").alias("n")), "met")
-    met = met.withColumn("off", _discount(met))
-    sums = {r["fold"]: r for r in met.groupBy("fold").agg(F.sum("n").alias("total"), F.sum("off").alias("removed")).collect()}
-    shares = [sums[f]["removed"] / sums[f]["total"] if f in sums else 1.0 for f in (0, 1)]
-    totals = [float(sums[f]["total"]) if f in sums else 1.0 for f in (0, 1)]
-    by = lambda x: F.when(F.col("fold") == 0, F.lit(x[0])).otherwise(F.lit(x[1]))
-    spell = counts.where("v IS NULL").select("fold", F.col("w").alias("x"), "spell")
-    base = by(shares) * F.exp("spell")
-    # a word is met as often as it is a context, the edge too, so that all tables here have the same words
-    words = met.join(spell, ["fold", "x"]).join(contexts, ["fold", "x"]).select(
-        "fold", "x", "removed", ((F.col("n") - F.col("off")) / by(totals) + base).alias("p"),
-        (F.log1p((F.col("n") - F.col("off")) / by(totals) / base) + F.log(F.col("removed") / F.col("total"))).alias("value"),
-    )
-    words = written(words, "words")
-    found = pairs.withColumn("off", _discount(pairs))
-    found = found.join(words.select("fold", F.col("x").alias("v"), "removed"), ["fold", "v"])
-    found = found.join(words.select("fold", F.col("x").alias("w"), "p"), ["fold", "w"])
-    value = F.log1p((F.col("n") - F.col("off")) / (F.col("removed") * F.col("p")))
-    return (
-        words.select(F.col("x").bitwiseXOR(_salted(WORD_SALT, "fold")).alias("key"), F.col("value").cast("float").alias("value"))
-        .unionByName(found.select(_pair_column("v", "w", "fold").alias("key"), value.cast("float").alias("value")))
-    ), [float(np.log(x)) for x in shares]
-
-
-def _packed(shards: int):
-    """(shard, kind 0, keys and values) of a model's rows, sorted by key within a blob."""
+
+@dataclass
+class Lower:
+    """Of one fold: discounts by order, and p(byte | byte before) for all 65536 pairs."""
+
+    off: dict[int, tuple[float, float, float]]
+    two: np.ndarray
+
+
+def lower_orders(facts: list[tuple[int, int, int]]) -> Lower:
+    """From (order, code, how many): counts of counts for orders above two, continuation counts of order two."""
+    off = {j: discounts({c: m for o, c, m in facts if o == j}) for j in range(3, ORDER + 1)}
+    pairs = np.zeros((256, 256), np.int64)
+    for o, c, m in facts:
+        if o == 2:
+            pairs[c >> 8, c & 255] = m
+    ones = (pairs > 0).sum(0)
+
+    def smooth(n: np.ndarray, below: np.ndarray) -> np.ndarray:
+        d = discounts({i: int((n == i).sum()) for i in (1, 2, 3, 4)})
+        total = n.sum(-1, keepdims=True)
+        p = (n - _off(n, d) + _off(n, d).sum(-1, keepdims=True) * below) / np.maximum(total, 1)
+        return np.where(total > 0, p, below)
+
+    level = np.full(256, 1 / SYMBOLS)
+    level[EDGE[0]] = 0
+    return Lower(off, smooth(pairs, smooth(ones, level)).ravel())
+
+
+class Shard:
+    """The part of a fold's model that its strings need."""
+
+    def __init__(self, k: np.ndarray, n: np.ndarray, lower: Lower):
+        self.two, self.orders = lower.two, []
+        for j, (code, c) in sorted(continuations(k, n).items()):
+            off = _off(c, lower.off[j])
+            ctx = code >> np.uint64(8)
+            first = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1]))) if len(ctx) else np.empty(0, np.int64)
+            total = np.add.reduceat(c, first) if len(first) else c
+            size = np.diff(np.append(first, len(ctx)))
+            weight = (np.add.reduceat(off, first) if len(first) else off) / total
+            self.orders.append((j, code, (c - off) / np.repeat(total, size), ctx[first], weight))
+
+    def logp(self, k: np.ndarray) -> np.ndarray:
+        """Log-probability of each string's last byte after its others."""
+        p = self.two[(k & np.uint64(0xFFFF)).astype(np.int64)]
+        for j, code, keep, ctx, weight in self.orders:
+            if not len(code):
+                continue
+            c = k & np.uint64((1 << 8 * j) - 1)
+            i = np.minimum(np.searchsorted(ctx, c >> np.uint64(8)), len(ctx) - 1)
+            met = ctx[i] == c >> np.uint64(8)
+            at = np.minimum(np.searchsorted(code, c), len(code) - 1)
+            p = np.where(met, np.where(code[at] == c, keep[at], 0.0) + weight[i] * p, p)
+        return np.log(p)
+
+
+# --- texts -----------------------------------------------------------------------------------------------------
+
+
+def _bundled(chunks: int):
+    """(text, hash) to compressed bundles of texts by chunk; equal texts of a task go once a bundle."""
+
+    def bundles(held):
+        by: dict[int, list] = {}
+        for i, t in held.items():
+            by.setdefault(i % chunks, []).append((i, t))
+        for c, own in sorted(by.items()):
+            ids, texts = zip(*own)
+            sizes = np.array([len(t) for t in texts], np.int64)
+            head = np.int64(len(ids)).tobytes() + np.array(ids, np.int64).tobytes() + sizes.tobytes()
+            yield c, zstandard.ZstdCompressor(level=3).compress(head + b"".join(texts))
+
+    def sent(held):
+        out = list(bundles(held))
+        for i in range(0, len(out), 64):
+            chunk, blob = zip(*out[i : i + 64])
+            yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int32()), pa.array(blob, pa.binary())], ["chunk", "blob"])
 
     def run(batches):
+        held, size = {}, 0
         for b in batches:
-            key, value = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            key = key.view(np.uint64)
-            order = np.argsort(key)
-            key, value = key[order], value[order].astype(np.float32)
-            cuts = np.searchsorted(key, _bounds(shards))
-            out = [(i, key[x:y].tobytes() + value[x:y].tobytes()) for i, (x, y) in enumerate(zip(cuts, [*cuts[1:], len(key)])) if y > x]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in out], pa.int32()), pa.array([0] * len(out), pa.int32()), pa.array([x for _, x in out], pa.binary())],
-                ["shard", "kind", "blob"],
-            )
+            for t, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if i not in held:
+                    held[i] = t.encode("utf-8", "surrogatepass")
+                    size += len(held[i])
+            if size >= CHUNK:
+                yield from sent(held)
+                held, size = {}, 0
+        yield from sent(held)
 
     return run
 
 
-def _bounds(shards: int) -> np.ndarray:
-    """The least key of each shard."""
-    return np.array([(i << 64) // shards for i in range(shards)], np.uint64)
+def _opened(blob: bytes) -> tuple[np.ndarray, list[bytes]]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    ids, sizes = np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.int64, n, 8 + 8 * n)
+    ends = 8 + 16 * n + np.cumsum(sizes)
+    return ids, [data[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist())]
 
 
-def _requests(held, shares: list[float], shards: int):
-    """(shard, kind 1, blob): the distinct words and pairs of each text with their counts; kind 2: texts with what needs no look-up.
+_ASKED = ["shard", "kind", "chunk", "keys", "n"]
+_ASKED_KINDS = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
 
-    A text is judged by the model of the other fold, which has seen neither it nor a copy.
-    """
+
+def _requests(shards: int):
+    """Bundles sorted by chunk to packets: the distinct strings of a chunk, by shard."""
+
+    def sent(chunk, held):
+        keys = np.unique(np.concatenate(held))
+        out = [(s, 2, chunk, _pack_keys(keys[x] & _BARE), None) for s, x in _by_shard(keys)]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), _ASKED_KINDS)], _ASKED)
 
     def run(batches):
-        words = _Words(held.value)
-        for rows in _chunks(batches, 0, (1, 2)):
-            rows = list({r[1]: r for r in rows}.values())  # equal texts have one score
-            keys, spell, at, v, w = words.chunk([r[0] for r in rows])
-            ids = np.array([r[1] for r in rows], np.int64)
-            fold = 1 - np.array([r[2] for r in rows])
-            base = np.bincount(at, spell[w] + np.array(shares)[fold][at], len(rows))
-            asked = np.concatenate([keys[w] ^ WORD_SALT[fold[at]], _pair_keys(keys[v], keys[w], fold[at])])
-            known, place = np.unique(asked, return_inverse=True)
-            code, n = np.unique(place * len(rows) + np.tile(at, 2), return_counts=True)
-            place, doc = code // len(rows), (code % len(rows)).astype(np.uint32)
-            first = np.searchsorted(place, np.arange(len(known) + 1))
-            cuts = np.append(np.searchsorted(known, _bounds(shards)), len(known))
-            shard, kind, blob = [int(ids[0]) % shards], [2], [np.int64(len(ids)).tobytes() + ids.tobytes() + base.tobytes()]
-            for i in range(shards):
-                x, y = cuts[i], cuts[i + 1]
-                if y > x:
-                    lo, hi = first[x], first[y]
-                    used, ref = np.unique(doc[lo:hi], return_inverse=True)
-                    here = ids[used]
-                    shard.append(i)
-                    kind.append(1)
-                    blob.append(
-                        np.array([y - x, hi - lo, len(here)], np.int64).tobytes() + known[x:y].tobytes() + here.tobytes()
-                        + np.diff(first[x : y + 1]).astype(np.uint32).tobytes() + ref.astype(np.uint32).tobytes() + n[lo:hi].astype(np.uint32).tobytes()
-                    )
-            for k in range(0, len(shard), 16):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[k : k + 16], pa.int32()), pa.array(kind[k : k + 16], pa.int32()), pa.array(blob[k : k + 16], pa.binary())],
-                    ["shard", "kind", "blob"],
-                )
+        at, held, seen = None, [], set()
+        for b in batches:
+            for chunk, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if chunk != at:
+                    if held:
+                        yield sent(at, held)
+                    at, held, seen = chunk, [], set()
+                ids, texts = _opened(blob)
+                for piece in _pieces([t for i, t in zip(ids.tolist(), texts) if i not in seen]):
+                    held.append(pc.unique(pa.array(_dealt(grams(piece)[0], shards))).to_numpy())
+                    if sum(map(len, held)) >= HELD:
+                        held = [np.unique(np.concatenate(held))]
+                seen.update(ids.tolist())
+        if held:
+            yield sent(at, held)
 
     return run
 
 
-def _answers(batches):
-    """(text, sum, one) for each text and shard; rows come by shard, the model's first."""
-    at, parts, key, value = None, [], np.empty(0, np.uint64), np.empty(0, np.float32)
+def _answers(lower):
+    """Sorted packets of a shard, the model's rows first, to (chunk, keys, log-probabilities).
 
-    def out(ids, x, one):
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(x), pa.array(np.full(len(ids), one, np.int64))], ["text", "sum", "one"])
+    A chunk is judged by the model of the other fold, which has seen neither its texts nor copies of them.
+    """
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
 
-    for b in batches:
-        for shard, kind, blob in zip(*(b.column(i).to_pylist() for i in range(3))):
-            if shard != at:
-                at, parts, key, value = shard, [], np.empty(0, np.uint64), np.empty(0, np.float32)
-            if kind == 0:
-                parts.append(blob)
-                continue
-            if parts:
-                sizes = [len(x) // 12 for x in parts]
-                key = np.concatenate([np.frombuffer(x, np.uint64, m) for x, m in zip(parts, sizes)])
-                value = np.concatenate([np.frombuffer(x, np.float32, m, 8 * m) for x, m in zip(parts, sizes)])
-                order, parts = np.argsort(key), []
-                key, value = key[order], value[order]
-            if kind == 2:
-                m = int(np.frombuffer(blob, np.int64, 1)[0])
-                yield out(np.frombuffer(blob, np.int64, m, 8), np.frombuffer(blob, np.float64, m, 8 + 8 * m), 1)
-                continue
-            m, pairs, texts = (int(x) for x in np.frombuffer(blob, np.int64, 3))
-            if not len(key):
-                continue
-            asked = np.frombuffer(blob, np.uint64, m, 24)
-            ids = np.frombuffer(blob, np.int64, texts, 24 + 8 * m)
-            sizes, ref, n = np.split(np.frombuffer(blob, np.uint32, m + 2 * pairs, 24 + 8 * m + 8 * texts), [m, m + pairs])
-            place = np.minimum(np.searchsorted(key, asked), len(key) - 1)
-            hit = np.where(key[place] == asked, value[place].astype(np.float64), 0.0)
-            yield out(ids, np.bincount(ref, np.repeat(hit, sizes) * n, texts), 0)
+    def run(batches):
+        at, models = None, {}
+        for b in batches:
+            out = []
+            for shard, kind, chunk, keys, n in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if shard != at:
+                    at, models = shard, {}
+                if kind < 2:
+                    models[kind] = Shard(_natural(_unpack_keys(keys)), _unpack(n, np.int64), lower.value[kind])
+                    continue
+                fold = 1 - chunk % 2
+                if fold not in models:
+                    models[fold] = Shard(*none, lower.value[fold])
+                asked = _unpack_keys(keys)
+                p = models[fold].logp(_natural(asked)).astype(np.float32)
+                out.append((chunk, _pack_keys(_natural(asked)), _pack(p)))
+            cols = list(zip(*out)) if out else [[]] * 3
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["chunk", "keys", "logp"])
 
+    return run
 
-def text_scores(docs: DataFrame, table: np.ndarray, values: DataFrame, shares: list[float]) -> DataFrame:
-    """(text hash, log-probability of the text); the texts' n-grams meet the model's in shards of the keys' range."""
+
+def _sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """The texts of a chunk and the answers to its strings: (text, logp) of each different text."""
+    keys = np.concatenate([_unpack_keys(x) for x in answers.column("keys").to_pylist()])
+    logp = np.concatenate([_unpack(x, np.float32) for x in answers.column("logp").to_pylist()]).astype(np.float64)
+    known, seen = pa.array(keys), {}
+    for blob in texts.column("blob").to_pylist():
+        ids, each = _opened(blob)
+        new = {i: t for i, t in zip(ids.tolist(), each) if i not in seen}
+        at = iter(new)
+        for piece in _pieces(list(new.values())):
+            k, sizes = grams(piece)
+            p = logp[pc.index_in(pa.array(k), known).to_numpy()]
+            starts = np.cumsum(sizes) - sizes
+            for x in np.add.reduceat(p, starts).tolist():
+                seen[next(at)] = x
+    return pa.table({"text": pa.array(list(seen), pa.int64()), "logp": pa.array(list(seen.values()), pa.float64())})
+
+
+def text_scores(docs: DataFrame, model: DataFrame, shards: int, size: int) -> DataFrame:
+    """(text hash, log-probability of the text) of all texts, of ``size`` bytes together."""
     spark = docs.sparkSession
     small_batches(spark)
-    held = spark.sparkContext.broadcast(table)
-    # the shards follow the model, so that one fits in a task
-    shards = max(16, -(-values.count() // SHARD_KEYS))
-    row = "shard int, kind int, blob binary"
-    texts = docs.select("text", F.xxhash64("text").alias("id"), fold_of().alias("fold")).where("text <> ''")
-    asked = texts.mapInArrow(_requests(held, shares, shards), row)
-    spread = values.mapInArrow(_packed(shards), row).unionByName(asked).repartition(shards, "shard")
-    parts = spread.sortWithinPartitions("shard", "kind").mapInArrow(_answers, "text long, sum double, one long")
-    # copies in different chunks are all counted, and averaged
-    return parts.groupBy("text").agg((F.sum("sum") / F.sum("one")).alias("logp"))
-
-
-def scored(docs: DataFrame, scores: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and __n, __nll: symbols, and mean negative log-probability of one, null without text."""
-    n = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.length("text") + 1).otherwise(0)
-    only = docs.select(*[F.col(f"`{c}`") for c in keep], n.cast("long").alias("__n"), F.xxhash64("text").alias("__hash"))
-    met = only.join(scores.withColumnRenamed("text", "__hash"), "__hash", "left")
-    return met.select(*[F.col(f"`{c}`") for c in keep], "__n", F.when(F.col("__n") > 0, -F.col("logp") / F.col("__n")).alias("__nll"))
+    facts = model.where("kind = 1").groupBy("fold", "order", "code").agg(F.sum("many").alias("many")).collect()
+    lower = [lower_orders([(r["order"], r["code"], r["many"]) for r in facts if r["fold"] == f]) for f in (0, 1)]
+    lower = spark.sparkContext.broadcast(lower)  # two tables of 65536 numbers
+    chunks = 2 * -(-max(size, 1) // (2 * CHUNK))  # even: the fold of a chunk is that of its texts
+    texts = docs.where("text <> ''").select("text", F.xxhash64("text").alias("hash"))
+    dealt = texts.mapInArrow(_bundled(chunks), "chunk int, blob binary").repartition(chunks, "chunk")
+    row = "shard int, kind int, chunk int, keys binary, n binary"
+    asked = dealt.sortWithinPartitions("chunk").mapInArrow(_requests(shards), row)
+    held = model.where("kind = 0").select("shard", F.col("fold").alias("kind"), F.lit(-1).alias("chunk"), "keys", "n")
+    met = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    found = met.mapInArrow(_answers(lower), "chunk int, keys binary, logp binary")
+    return dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_sums, "text long, logp double")
+
+
+def _scored(docs: DataFrame, scores: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, lang, n, nll, more): bytes and end, and mean negative log-probability of one, null without text."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    n = F.when(size > 0, size + 1).otherwise(0).cast("long").alias("n")
+    only = docs.select("doc_id", "lang", n, F.xxhash64("text").alias("hash"), *more)
+    met = only.join(scores.withColumnRenamed("text", "hash"), "hash", "left").drop("hash")
+    return met.withColumn("nll", F.when(F.col("n") > 0, -F.col("logp") / F.col("n"))).drop("logp")
 
 
 def language_cuts(good: DataFrame, limits: Limits) -> DataFrame:
@@ -486,44 +503,39 @@ def language_cuts(good: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, keep: list[str]) -> DataFrame:
-    """``scored`` with __low and __high of the language, and __kept."""
+def _judged(docs: DataFrame, labels: DataFrame, limits: Limits, *more: Column) -> DataFrame:
+    """``_scored`` with low and high of the language, and kept."""
     ids = written(trusted_ids(labels), "trusted")
-    table = model(written(trigram_counts(docs, ids, limits), "trigrams"))
-    counts = written(pair_counts(docs, ids, table, limits), "pairs")
-    values, shares = word_model(counts)
-    values = written(values, "values")
-    forget(counts)
-    by_text = written(text_scores(docs, table, values, shares), "texts")
-    forget(values)
-    scores = scored(docs, by_text, ["doc_id", "lang"])
-    # the mean of n symbols strays by about 1 / sqrt(n)
-    room = F.lit(limits.slack) / F.sqrt(F.greatest("__n", F.lit(1)))
-    good = scores.where("__nll IS NOT NULL").join(ids, "doc_id", "left_semi")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = int(min(max(size // SHARD_TEXT, SHARDS[0]), SHARDS[1]))
+    model = counts(docs, ids, limits, shards)
+    by_text = written(text_scores(docs, model, shards, size), "texts")
+    # the mean of n bytes strays by about 1 / sqrt(n)
+    room = F.lit(limits.slack) / F.sqrt(F.greatest("n", F.lit(1)))
+    good = _scored(docs, by_text).where("nll IS NOT NULL").join(ids, "doc_id", "left_semi")
+    good = good.select("lang", F.col("nll").alias("__nll"), room.alias("__room"))
     # one row a language: written, so that the planner sees its size before it picks the join
-    own = written(language_cuts(good.withColumn("__room", room), limits), "cuts")
-    again = scores if keep == ["doc_id", "lang"] else scored(docs, by_text, keep)
-    met = again.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumns(
-        {"__low": F.coalesce("__low", F.lit(float("-inf"))), "__high": F.coalesce("__high", F.lit(float("inf")))}
-    )
-    kept = F.col("__nll").between(F.col("__low") - room, F.col("__high") + room)
-    return met.withColumn("__kept", F.coalesce(kept, F.lit(False)))
+    own = written(language_cuts(good, limits), "cuts")
+    met = _scored(docs, by_text, *more).join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left")
+    low, high = F.coalesce("__low", F.lit(float("-inf"))), F.coalesce("__high", F.lit(float("inf")))
+    kept = F.coalesce(F.col("nll").between(low - room, high + room), F.lit(False))
+    return met.withColumns({"low": low, "high": high, "kept": kept})
 
 
 def classified(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row a document: doc_id, lang, n_symbols, perplexity, low, high (of its language), kept."""
-    return _judged(docs, labels, limits, ["doc_id", "lang"]).select(
+    """One row a document: doc_id, lang, n_symbols (bytes and the end), perplexity, low, high (of its language), kept."""
+    return _judged(docs, labels, limits).select(
         "doc_id",
         "lang",
-        F.col("__n").alias("n_symbols"),
-        F.exp("__nll").alias("perplexity"),
-        F.exp("__low").alias("low"),
-        F.exp("__high").alias("high"),
-        F.col("__kept").alias("kept"),
+        F.col("n").alias("n_symbols"),
+        F.exp("nll").alias("perplexity"),
+        F.exp("low").alias("low"),
+        F.exp("high").alias("high"),
+        "kept",
     )
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The rows and columns of ``docs`` that the classifier keeps; no text is shuffled for the verdict."""
-    found = _judged(docs, labels, limits, docs.columns).where("__kept")
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows and columns of ``docs`` that the classifier keeps."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return _judged(docs, labels, limits, row).where("kept").select("row.*")

@@ -209,10 +209,51 @@ def test_open_heads_and_empty_tags_hide_nothing():
 # --- 4 ---------------------------------------------------------------------------------------------------------
 
 
-def test_model_is_a_distribution(spark):
-    counts = spark.createDataFrame(list(Counter(perplexity.trigrams("hello there, hello again").tolist()).items()), "key int, n long")
-    p = np.exp(perplexity.model(counts).astype(float)).reshape(-1, perplexity.V).sum(1)
-    assert np.allclose(p, 1, atol=1e-4)
+def brute_kneser_ney(texts):
+    """p(byte | context) of an interpolated modified Kneser-Ney model over six bytes, from dictionaries."""
+    top = Counter()
+    for t in texts:
+        x = [255] * 5 + [*t.encode(), 254]
+        top.update(tuple(x[i : i + 6]) for i in range(len(x) - 5))
+    orders = {6: top}
+    for j in (5, 4, 3, 2, 1):
+        orders[j] = Counter(g[1:] for g in orders[j + 1])
+    off, by = {}, {j: defaultdict(Counter) for j in orders}
+    for j, grams in orders.items():
+        n1, n2, n3, n4 = (sum(n == i for n in grams.values()) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+        off[j] = lambda n, d=d: min(max(d[min(n, 3) - 1], 0.1), min(n, 3) - 0.1)
+        for g, n in grams.items():
+            by[j][g[:-1]][g[-1]] = n
+
+    def p(context, x, j=6):
+        if j == 0:
+            return 1 / 255
+        own, low = by[j].get(tuple(context[len(context) - j + 1 :])), p(context, x, j - 1)
+        if not own:
+            return low
+        keep = max(own[x] - off[j](own[x]), 0) if x in own else 0
+        return (keep + sum(map(off[j], own.values())) * low) / sum(own.values())
+
+    return p
+
+
+def test_model_is_a_distribution():
+    texts = ["hello there, hello again", "other, heller", "aaa", "déjà vu"]
+    k, n = np.unique(perplexity.grams([t.encode() for t in texts])[0], return_counts=True)
+    facts = [(j, int(c), int(m)) for j, (_, x) in perplexity.continuations(k, n).items() for c, m in zip(*np.unique(x[x <= 4], return_counts=True))]
+    two, many = np.unique(perplexity.continuations(k, n)[3][0] & np.uint64(0xFFFF), return_counts=True)
+    model = perplexity.Shard(k, n, perplexity.lower_orders([*facts, *((2, int(c), int(m)) for c, m in zip(two, many))]))
+    for context in (b"\xff" * 5, b"hello", b"e, he", b"zzzzz", b"there", b"\xff\xffaaa"):
+        base = int.from_bytes(context, "big") << 8
+        p = np.exp(model.logp(np.array([base + x for x in range(256)], np.uint64)[:255]))
+        assert np.isclose(p.sum(), 1, atol=1e-9), context
+    brute = brute_kneser_ney(texts)
+    for t in ("hello there", "zz", "jà a"):
+        k, _ = perplexity.grams([t.encode()])
+        x = [255] * 5 + [*t.encode(), 254]
+        assert np.allclose(model.logp(k), [np.log(brute(x[i : i + 5], x[i + 5])) for i in range(len(x) - 5)], atol=1e-9)
 
 
 def test_classifier_on_labels(spark):
@@ -251,51 +292,36 @@ def test_word_order_counts(spark):
     assert got[900].kept and not got[901].kept and got[901].perplexity > 1.3 * got[900].perplexity
 
 
-def test_sharded_scores_are_those_of_the_counts(spark, monkeypatch):
-    """Sums of looked-up values equal the model's formula, pair by pair; the model grows with the trusted text."""
-    monkeypatch.setattr(perplexity, "CHUNK", 50)
-    monkeypatch.setattr(perplexity, "SHARD_KEYS", 40)
-    texts = [" ".join(random.Random(i).choices("abcdefghij", k=12)) for i in range(40)]
-    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "a a zz b", texts[0]])], "doc_id long, text string")
-    ids = spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
-    table = perplexity.model(perplexity.trigram_counts(d, ids, perplexity.Limits()))
-    counts = perplexity.pair_counts(d, ids, table, perplexity.Limits())
-    values, shares = perplexity.word_model(counts)
-    few, _ = perplexity.word_model(perplexity.pair_counts(d, ids.where("doc_id < 5"), table, perplexity.Limits()))
-    assert values.count() > few.count()
+@pytest.mark.parametrize("small", [False, True])
+def test_sharded_scores_are_those_of_the_counts(spark, monkeypatch, small):
+    """Scores by packets equal the brute-force model of the other fold; the model grows with the trusted text."""
+    if small:  # many pieces, chunks and packets
+        for name, x in (("PIECE", 64), ("CHUNK", 300), ("HELD", 40)):
+            monkeypatch.setattr(perplexity, name, x)
+    texts = [" ".join(random.Random(i).choices(["abc", "de", "fgh", "é", "漢字", "\xff", "a"], k=12)) for i in range(60)]
+    odd = ["", None, "a", "\x00\xfe", "never met ZZ", texts[0], "🙂" * 50]
+    d = spark.createDataFrame([*enumerate([*texts, *odd])], "doc_id long, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
+    model = perplexity.counts(d, ids, perplexity.Limits(), 7)
+    few = perplexity.counts(d, ids.where("doc_id < 5"), perplexity.Limits(), 7)
+    size = lambda m: sum(len(perplexity._unpack_keys(r["keys"])) for r in m.where("kind = 0").collect())
+    assert size(model) > size(few) > 0
     folds = {r.doc_id: r.f for r in d.select("doc_id", perplexity.fold_of().alias("f")).collect()}
-    pairs = [Counter(), Counter()]
-    for i, t in enumerate(texts):
-        x = ["", *t.split(), ""]
-        pairs[folds[i]].update(zip(x, x[1:]))
-
-    def discounts(ns):
-        n1, n2, n3, n4 = (sum(x == i for x in ns) for i in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-        return lambda n: min(max(d[min(n, 3) - 1], 0.1), min(n, 3) - 0.1)
-
-    met = [Counter(w for _, w in p) for p in pairs]
-    d2, d1 = discounts([n for p in pairs for n in p.values()]), discounts([n for m in met for n in m.values()])
-    spell = perplexity._Words(table)
-
-    def logp(text, f):
-        out, x = 0.0, ["", *text.split(), ""]
-        for v, w in zip(x, x[1:]):
-            total = sum(met[f].values())
-            low = sum(map(d1, met[f].values())) / total * np.exp(spell.spelled([w])[0])
-            low += (met[f][w] - d1(met[f][w])) / total if met[f][w] else 0
-            own = {k[1]: n for k, n in pairs[f].items() if k[0] == v}
-            if own:
-                low = low * sum(map(d2, own.values())) / sum(own.values())
-                low += (own[w] - d2(own[w])) / sum(own.values()) if w in own else 0
-            out += np.log(low)
-        return out
-
-    got = {r.doc_id: r.logp for r in d.join(perplexity.text_scores(d, table, values, shares).withColumnRenamed("text", "h"), F.xxhash64(d.text) == F.col("h")).collect()}
-    assert len(got) == 42
-    for i, t in enumerate([*texts, "a a zz b", texts[0]]):
-        assert abs(got[i] - logp(t, 1 - folds[i])) < 1e-3, i
+    brute = [brute_kneser_ney([t for i, t in enumerate(texts[:50]) if folds[i] == f]) for f in (0, 1)]
+    scores = perplexity.text_scores(d, model, 7, 3000)
+    got = {r.doc_id: r.logp for r in d.join(scores.withColumnRenamed("text", "h"), F.xxhash64(d.text) == F.col("h")).collect()}
+    assert scores.count() == len({t for t in [*texts, *odd] if t}) and len(got) == 65
+    for i, t in enumerate([*texts, *odd]):
+        if t:
+            x = [255] * 5 + [*t.encode(), 254]
+            want = sum(np.log(brute[1 - folds[i]](x[k : k + 5], x[k + 5])) for k in range(len(x) - 5))
+            assert abs(got[i] - want) / (len(x) - 5) < 1e-6, i
+
+
+def test_kept_documents_keep_columns_of_any_name(spark):
+    d = spark.createDataFrame([(1, "some text", "en", 0, 1, 2, "x")], "doc_id long, text string, lang string, n int, kept int, __low int, row string")
+    kept = perplexity.kept_documents(d, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [(1, "some text", "en", 0, 1, 2, "x")]
 
 
 def test_classifier_odd_cases(spark, odd, none):
