@@ -139,18 +139,34 @@ def _find_runs(batches):
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffixes in order; the last symbols of the texts must differ from all other symbols."""
-    n, step = len(symbols), 1
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    """Suffixes in order; the last symbols of the texts must differ from all other symbols.
+
+    Ranks by the first symbols are doubled; a rank is the place of the first suffix that shares it, so that only suffixes
+    that still share theirs are sorted again.
+    """
+    n = len(symbols)
+    dense = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    step, key = 1, dense
+    if n and dense.max() < (1 << 15) - 1:  # four symbols at once
+        padded = np.concatenate((dense + 1, np.zeros(3, np.int64)))
+        step, key = 4, (padded[:n] << 45) | (padded[1 : n + 1] << 30) | (padded[2 : n + 2] << 15) | padded[3:]
+    order = np.argsort(key)
+    fresh = np.concatenate(([True], key[order][1:] != key[order][:-1]))
+    rank = np.empty(n, np.int64)
+    slots = np.arange(n)
     while True:
-        behind = np.zeros(n, np.int64)
-        behind[: n - step] = rank[step:] + 1
-        pair = rank * (n + 1) + behind
-        order = np.argsort(pair, kind="stable")
-        fresh = np.concatenate(([0], np.cumsum(pair[order][1:] != pair[order][:-1])))
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
+        rank[order[slots]] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(slots)), 0))]
+        shared = ~(fresh & np.append(fresh[1:], True))
+        slots = slots[shared]
+        if not len(slots):
             return order
+        own = order[slots]
+        behind = own + step
+        key = rank[own] * (n + 1) + np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        order[slots] = own[by]
+        key = key[by]
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
         step *= 2
 
 
@@ -160,7 +176,9 @@ def shared_prefixes(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.nda
     ``known`` marks rows whose common prefix with the row above is decided.  For rows p < q that follow each other
     among those with one symbol c in front, the suffixes with c prepended are neighbours, and share one symbol more than
     all rows between p and q do.  So once a row between them is decided at a length, their extension is
-    decided at the next: breadth first, by increasing length.
+    decided at the next: breadth first, by increasing length.  A length starts from the rows of the one before: where
+    q is the row after p, it alone decides, so its extension follows at once; the other pairs, which wait until one of the rows
+    between is met, are few where texts are alike.
     """
     order = suffix_array(symbols)
     n = len(order)
@@ -175,14 +193,26 @@ def shared_prefixes(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.nda
     firsts = by_symbol[np.concatenate(([True], ~same))]
     known[extension[firsts]] = True  # nothing in common with the row above: another first symbol
     q, p = by_symbol[1:][same], by_symbol[:-1][same]
-    to = extension[q]
+    after = np.full(n, -1)
+    close = q == p + 1
+    after[q[close]] = extension[q[close]]
+    q, p = q[~close], p[~close]
+    now = np.flatnonzero(known)
     for _ in range(1, least):
-        decided = np.cumsum(known)
-        now = decided[q] > decided[p]
-        if not now.any():
+        follow = after[now]
+        if len(q) > n >> 4:
+            met = np.zeros(n, np.int32)
+            met[now] = 1
+            met = np.cumsum(met)
+            hit = met[q] > met[p]
+        else:
+            now = np.sort(now)
+            hit = np.searchsorted(now, q, "right") > np.searchsorted(now, p, "right")
+        now = np.concatenate((follow[follow >= 0], extension[q[hit]]))
+        if not len(now):
             break
-        known[to[now]] = True
-        q, p, to = q[~now], p[~now], to[~now]
+        known[now] = True
+        q, p = q[~hit], p[~hit]
     return order, np.cumsum(known)
 
 
@@ -234,6 +264,8 @@ def _compared(batches):
                 if size >= BIN:
                     yield solved()
                 key = row[2]
+            elif held and held[-1][:3] == row[:3] and held[-1][4] == row[4]:
+                continue  # rows equal in id and text bring one run
             held.append(row)
             size += len(row[3])
     if held:
@@ -310,6 +342,7 @@ def _first_pass(batches):
             open_ = [x for x in found if (x["different"] > 1 or x["any_own"]) and x["mine"]]
             rows.append((doc, text, th, data, spans, open_))
         once, repeated = _crowded_starts(rows)
+        told = set()
         for i, (doc, text, th, data, spans, open_) in enumerate(rows):
             spans += [(p, p + LENGTH) for p in repeated.get(i, ())]
             if not any(x["n"] == 1 for x in open_):
@@ -319,7 +352,8 @@ def _first_pass(batches):
                 out.append((doc, *blank, "text", th, text, held, *(None,) * 7))
             for x in open_:
                 f, c = x["first"], x["count"]
-                if x["different"] <= CROWD:
+                if x["different"] <= CROWD and (th, doc, f) not in told:
+                    told.add((th, doc, f))
                     piece = data[f : f + c + LENGTH - 1]
                     out.append((doc, *blank, "run", th, None, None, x["key"], piece, f, c, x["n"], None, None))
         for i, p, n, w1, w2 in once:
@@ -386,7 +420,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     forget(found)
     forget(each)
     bits = first.where("kind = 'run'").select("doc_id", "th", "key", "bytes", "first", "count", "n")
-    compared = bits.repartition("key").sortWithinPartitions("key").mapInArrow(
+    # a fixed number of tasks: small ones that are joined by their bytes would take long each
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    compared = bits.repartition(tasks, "key").sortWithinPartitions("key", "doc_id", "th", "first").mapInArrow(
         _compared, f"doc_id {kind}, th long, s long, e long"
     )
     starts = first.where("kind = 'start'").select("doc_id", "th", "first", "w1", "w2", "n")
