@@ -326,11 +326,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the least id, null ids last."""
+    """``docs`` with one row of each near-duplicate group: that of the least id, null ids last.
+
+    Rows are told apart by id, text and all other columns (128 bits of hash), so rows that share an id but are no near copies
+    all stay; of rows of one id the least text hash goes first.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns]
     one = F.col(f"`{id_col}`")
-    # rows without an id go by their text, behind all ids
-    key = F.coalesce(one.cast("string"), F.concat(F.lit("text "), F.xxhash64(f"`{text}`").cast("string")))
-    order = F.struct(one.isNull().alias("late"), one.alias("id"), key.alias("key"))
-    found = near_duplicates(docs.select(order.alias("__id"), F.col(f"`{text}`").alias("__text")), "__id", "__text")
-    keep = found.select(F.col("component_id.key").alias("__key")).distinct()
-    return docs.withColumn("__key", key).join(keep, "__key").dropDuplicates(["__key"]).drop("__key")
+    whole = [*own, *[c.isNull() for c in own]]  # a null leaves no trace in a hash
+    name = [F.xxhash64(F.lit(1), *whole).alias("r1"), F.xxhash64(F.lit(2), *whole).alias("r2")]
+    order = F.struct(one.isNull().alias("late"), one.alias("id"), F.xxhash64(f"`{text}`").alias("text"), *name)
+    found = near_duplicates(docs.select(order.alias("row"), F.col(f"`{text}`").alias("text")), "row", "text")
+    keep = found.select(F.col("component_id.r1").alias("r1"), F.col("component_id.r2").alias("r2")).distinct()
+    kept = docs.select(F.struct(*own).alias("row"), *name).join(keep, ["r1", "r2"], "left_semi")
+    return kept.dropDuplicates(["r1", "r2"]).select("row.*")

@@ -162,6 +162,15 @@ def test_near_dedup_keeps_one_of_each(odd, none, docs):
     assert simhash.near_duplicates(none).count() == 0 and simhash.representatives(none).count() == 0
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue white black grey")
+    rows = [(4, a, None, "x"), (4, b, "x", None), (5, b, None, None), (None, c, "1", "1"), (None, c, "1", "1"), (None, a, "2", "2"), (6, None, "3", "3")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, __key string, r1 string").repartition(3)
+    kept = simhash.representatives(d)
+    assert kept.columns == d.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[1], rows[3], rows[6]], key=str)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
