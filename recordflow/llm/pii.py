@@ -45,11 +45,11 @@ PATTERNS = {
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
     "spelled_email": (
-        r"\b[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\x20?[\[(]dot[\])]\x20?|\.)[A-Za-z]{2,12}){1,3}\b",
+        r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]*+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:(?:\x20?[\[(]dot[\])]\x20?|\.)[A-Za-z]{2,}+(?![A-Za-z0-9]))++",
         r"[\[(]at[\])]",
     ),
     "number_group": (r"(?<![0-9])[0-9]{3,4}(?:[\x20.-][0-9]{3,6}){2,4}(?![0-9])", "[0-9]{3}[ .-]"),
-    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b", "[A-Z]{2}[0-9]{2}"),
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b", "[A-Z]{2}[0-9]{2}"),
     "national_id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-[0-9]{2}-"),
     "dotted_quad": (r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])", r"[0-9]\.[0-9]"),
     "national_phone": (r"(?<![0-9+])\(?[0-9]{2,5}\)?[\x20.-][0-9]{2,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![0-9])", "[0-9]{2}[ .)-]"),
@@ -375,13 +375,14 @@ def find_personal_data(docs: DataFrame, how: Boosting = Boosting(), id_col="doc_
 def redacted_documents(docs: DataFrame, how: Boosting = Boosting(), text="text") -> DataFrame:
     """All rows and columns; in ``text`` every selected span gives way to its kind in brackets."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    held = docs.select(row.alias("__row"), F.col(f"`{text}`").alias("__text"))
-    found = written(candidates(held, "__row", "__text"), "candidates")
+    held = docs.select(row.alias("row"), F.col(f"`{text}`").alias("text"))
+    found = written(candidates(held, "row", "text"), "candidates")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    spans = F.sort_array(F.concat("base", "added"))
-    t = F.col(f"doc_id.`{text}`")
+    # rows are selected under another name than any column takes, so none is mistaken for the row
+    met = _selected(found, how).select(F.col("doc_id").alias("row"), F.sort_array(F.concat("base", "added")).alias("spans"))
+    t = F.col("row").getField(text)
     cut = F.aggregate(
-        spans,
+        "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
@@ -394,5 +395,4 @@ def redacted_documents(docs: DataFrame, how: Boosting = Boosting(), text="text")
         ),
         lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))),
     )
-    columns = [F.when(t.isNotNull(), cut).alias(c) if c == text else F.col(f"doc_id.`{c}`") for c in docs.columns]
-    return _selected(found, how).select(*columns)
+    return met.select(F.col("row").withField(f"`{text}`", F.when(t.isNotNull(), cut)).alias("row")).select("row.*")

@@ -542,6 +542,23 @@ def test_planted_spans_are_added(spark):
         assert not any(got[i] for i in (4, 5, 6)), got
 
 
+def test_documents_are_redacted(spark, docs, texts, odd, none):
+    """All of ``documents`` with its columns: base spans go, plain prose stays as it is."""
+    rows = pii.redacted_documents(docs).collect()
+    assert pii.redacted_documents(docs).columns == docs.columns and len(rows) == len(texts)
+    for r in rows:
+        assert not base_personal(r.text or "")
+        assert (r.text == texts[r.doc_id]) == (not base_personal(texts[r.doc_id] or "")), r.doc_id
+    assert pii.redacted_documents(odd).columns == odd.columns and pii.redacted_documents(odd).count() == len(ODD)
+    assert pii.redacted_documents(none).count() == 0
+    plain = ["In 1998 some 12 000 people met; 3.14 and 2.71 were read out, see 4-5.", "Chapter 3-2, verse 12, at the 2024-01-05 meeting."]
+    many = [("my mail is a [at] b [dot] org", "[SPELLED_EMAIL]"), ("write to " + "x" * 90 + "(at)" + "y" * 60 + "(dot)museum", "[SPELLED_EMAIL]"), ("pay NO93 8601 1117 947 now", "[IBAN]"), ("id 078-05-1120.", "[NATIONAL_ID]")]
+    d = spark.createDataFrame([(i, t, t, 1) for i, t in enumerate([*plain, *(t for t, _ in many)])], "doc_id long, text string, row string, base int")
+    got = {r.doc_id: r for r in pii.redacted_documents(d).collect()}
+    assert all(got[i].text == t and got[i].row == t for i, t in enumerate(plain))
+    assert all(mark in got[i + 2].text and got[i + 2].row == t for i, (t, mark) in enumerate(many)), got
+
+
 def test_national_phones_by_their_cues(spark):
     rows = [f"call us by phone {20 + i % 70} {1000 + i} {2000 + i} now" for i in range(200)] + [f"lot {20 + i % 70} {3000 + i} {4000 + i} now" for i in range(200)]
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
