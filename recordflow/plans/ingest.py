@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recordflow.operators.joins import last_of
@@ -41,11 +42,31 @@ def jsonld_find(spark, sf_dir):
     return html.structured_data(pages(spark, sf_dir), "JobPosting")
 
 
-@query("paginated_scan", "SELECT l AS listing, n AS rows, 'last_page' AS stop_reason, true AS complete FROM (VALUES ('list-7', 7::BIGINT), ('list-3', 3), ('list-10', 10)) t(l, n)")
+_LISTED = """l AS (SELECT lang AS listing, doc_id, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 10 AS page, count(*) OVER (PARTITION BY lang) AS n FROM documents)"""
+
+
+@query(
+    "paginated_scan",
+    f"""WITH {_LISTED} SELECT listing, count(*) FILTER (listing <> 'fr' OR page < 2) AS rows, CASE listing WHEN 'fr' THEN 'request_failed' WHEN 'de' THEN 'last_page' WHEN 'es' THEN 'advertised_total_reached' ELSE 'empty_page' END AS stop_reason,
+    listing NOT IN ('fr', 'de') AS complete, (CASE WHEN listing = 'fr' THEN 2 ELSE max(page) + 1 + (listing = 'en')::INT END)::INT AS pages, CASE listing WHEN 'de' THEN max(n) + 5 WHEN 'es' THEN max(n) END AS advertised_total FROM l GROUP BY listing""",
+)
 def paginated_scan(spark, sf_dir):
-    spark.dataSource.register(paginated.PaginatedSource)
-    scan = spark.read.format("paginated").option("listings", "list-7,list-3,list-10").option("fetch", "recordflow.sources.paginated:demo_fetch").load()
-    return scan.groupBy("listing").agg(F.count("id").alias("rows"), F.max("stop_reason").alias("stop_reason"), F.max("complete").alias("complete"))
+    """Documents as listings by language, ten rows a page: one fails on its third page, one advertises more than it has."""
+    d = table(spark, sf_dir, "documents")
+    place = F.floor((F.row_number().over(W.partitionBy("lang").orderBy("doc_id")) - 1) / 10).cast("int")
+    rows = d.select(F.col("lang").alias("listing"), "doc_id", (place + 1).alias("page"), F.count("*").over(W.partitionBy("lang")).alias("n"))
+    listing = F.col("listing")
+    last = F.max("page").over(W.partitionBy("listing"))
+    stored = rows.groupBy("listing", "page", "n").agg(F.sort_array(F.collect_list(F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("x").alias("payload")))).alias("rows"))
+    stored = stored.select(
+        "listing", "page", "rows",
+        F.when(F.col("page") > 1, F.lit(0)).when(listing == "de", F.col("n") + 5).when(listing == "es", F.col("n")).cast("long").alias("total"),
+        F.when(listing == "de", F.col("page") < last).alias("has_next"),
+        F.when((listing == "fr") & (F.col("page") == 3), "503").alias("error"),
+    )
+    scan = paginated.scan_stored(stored)
+    one = lambda c: F.max(c).alias(c)
+    return scan.groupBy("listing").agg(F.count("id").alias("rows"), one("stop_reason"), one("complete"), one("pages"), one("advertised_total"))
 
 
 @query("partition_distrust", "WITH s AS (SELECT lang, list_sort(list(DISTINCT source)) AS ids FROM documents GROUP BY lang) SELECT lang, count(*) OVER (PARTITION BY ids) > 1 AS untrusted FROM s")

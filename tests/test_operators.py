@@ -170,20 +170,53 @@ def test_completeness_is_enforced(spark):
 @pytest.mark.parametrize(
     ("pages", "limits", "want"),
     [
-        ([["a"], []], {}, "empty_page"),
-        ([["a"], ["a"]], {}, "repeated_page"),
-        ([["a"], ["b"], ["c"]], {"max_pages": 2}, "configured_page_limit"),
-        ([["a", "b", "c"]], {"max_records": 2}, "configured_record_limit"),
-        ([["a"], None], {}, "request_failed"),
-        ([["a"], ["b"]], {"window": 2}, "known_result_window_limit"),
+        ([["a"], []], {}, ("empty_page", True, 1)),
+        ([["a"], ["a"]], {}, ("repeated_page", False, 1)),
+        ([["a"], ["b"], ["c"]], {"max_pages": 2}, ("configured_page_limit", False, 2)),
+        ([["a", "b", "c"]], {"max_records": 2}, ("configured_record_limit", False, 2)),
+        ([["a"], None], {}, ("request_failed", False, 1)),
+        ([["a"], ["b"], None], {"window": lambda pages, e: pages == 2}, ("known_result_window_limit", True, 2)),
+        ([["a"], ["b"], None], {"window": lambda pages, e: pages == 3}, ("request_failed", False, 2)),
+        ([(["a"], 10, None), []], {}, ("empty_page", False, 1)),
+        ([(["a", "b"], 2, None)], {"max_records": 2}, ("advertised_total_reached", True, 2)),
+        ([(["a", "b"], 5, None), (["c", "d"], 0, None), (["e"], 0, None)], {}, ("advertised_total_reached", True, 5)),
+        ([(["a"], 3, True), (["b"], None, False)], {}, ("last_page", False, 2)),
+        ([(["a"], None, True), (["b"], None, False)], {}, ("last_page", True, 2)),
+        ([["a"]] + [[str(i)] for i in range(1500)] + [[]], {}, ("empty_page", True, 1501)),
     ],
 )
-def test_pagination_stops(pages, limits, want):
+def test_pagination_stops(spark, pages, limits, want):
     def fetch(n):
-        return [(x, x) for x in pages[n - 1]], None, None  # a missing page raises
+        p = pages[n - 1]  # a missing page raises
+        rows, total, more = p if isinstance(p, tuple) else (p, None, None)
+        return [(x, x) for x in rows], total, more
 
     rows, why, complete = paginated.paginate(fetch, **limits)
-    assert why == want and complete == (want == "empty_page") and rows
+    assert (why, complete, len(rows)) == want
+
+
+def test_a_failed_first_page_is_no_empty_listing(spark):
+    def fetch(n):
+        raise TimeoutError("no answer")
+
+    with pytest.raises(paginated.FirstPageFailed):
+        paginated.paginate(fetch)
+    stored = spark.createDataFrame(
+        [("a", 1, None, None, None, "no answer"), ("b", 1, [("x", "1")], 1, None, None), ("c", 1, [], None, None, None)],
+        "listing string, page int, rows array<struct<id:string,payload:string>>, total long, has_next boolean, error string",
+    )
+    got = {r.listing: r for r in paginated.scan_stored(stored).where("stop_reason IS NOT NULL").collect()}
+    assert (got["a"].stop_reason, got["a"].complete, got["a"].pages) == ("request_failed", False, 0) and "no answer" in got["a"].error
+    assert (got["b"].stop_reason, got["b"].complete, got["b"].advertised_total) == ("advertised_total_reached", True, 1)
+    assert (got["c"].stop_reason, got["c"].complete) == ("empty_page", True)
+
+
+def test_listings_are_a_data_source(spark):
+    spark.dataSource.register(paginated.PaginatedSource)
+    read = spark.read.format("paginated").option("listings", "list-7,list-3").option("fetch", "recordflow.sources.paginated:demo_fetch")
+    got = {r.listing: r.n for r in read.load().groupBy("listing").agg(F.count("id").alias("n")).collect()}
+    assert got == {"list-7": 7, "list-3": 3}
+    assert read.option("limit", "2").load().where("stop_reason = 'configured_record_limit'").count() == 2
 
 
 def test_html():
