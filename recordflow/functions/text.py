@@ -133,6 +133,20 @@ def tokens(x: Column, patterns: list[str]) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.array(*found))))
 
 
+#: What a reference number of a posting looks like, in upper case.
+REFERENCES = (
+    r"\b\d{2,4}[/-]\d{2,4}(?:[-_/][A-Z0-9]{1,12})+\b",
+    r"\b[A-Z]{2,12}\d{2,4}[/-]\d{2,4}(?:[-_/][A-Z0-9]{1,12})*\b",
+    r"\b(?:REF(?:ERENCE)?[.: _-]*)[A-Z0-9][A-Z0-9/_-]{3,}\b",
+)
+
+
+def references(title: Column) -> Column:
+    """Sorted distinct reference numbers of a title, without white space."""
+    found = tokens(F.upper(F.coalesce(title, F.lit(""))), list(REFERENCES))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, r"\s+", ""))))
+
+
 def words(x: Column) -> Column:
     """Words of normalised text."""
     return F.filter(F.split(x, " "), lambda w: w != "")

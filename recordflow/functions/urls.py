@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Query keys that name a posting; all others are dropped from the matching key.
-IDENTITY_KEYS = ("id", "job", "jobid", "page", "ref", "req", "vacancy")
+#: Query keys that name a posting; all others are dropped from the matching key.
+IDENTITY_KEYS = (
+    "id", "jobid", "job_id", "job-id", "vacancyid", "vacancy_id", "offerid", "offer_id", "positionid", "position_id",
+    "requisitionid", "requisition_id", "reqid", "req_id", "p_recruitment_id",
+)
 #: Query keys that only track a visit.
 TRACKING_KEYS = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid")
 
@@ -33,8 +36,8 @@ def _query(url: Column, keep) -> Column:
 
 
 def match_key(url: Column) -> Column:
-    """Scheme dropped, host lowered without www., slashes squeezed, identity query keys sorted."""
-    query = _query(url, lambda k: k.isin(*IDENTITY_KEYS))
+    """Scheme dropped, host lowered without www., slashes squeezed, identity query keys sorted and lowered."""
+    query = F.lower(_query(url, lambda k: k.isin(*IDENTITY_KEYS)))
     base = F.concat(host(url), _port(url), _path(url))
     return F.when(host(url) == "", "").otherwise(F.when(query == "", base).otherwise(F.concat(base, F.lit("?"), query)))
 

@@ -24,23 +24,36 @@ def tier(code: Column, tiers: dict[str, list[str]]) -> Column:
     return first_of([(code.isNull(), "UNKNOWN"), *((code.isin(*v), k) for k, v in tiers.items())], "OTHER")
 
 
-def failure(message: Column, status: Column) -> Column:
-    """Class of a failed request, from its message and its HTTP status."""
-    low = F.lower(F.coalesce(message, F.lit("")))
-    s = F.coalesce(status, F.lit(0))
+# Classes of failures and what tells of them, in order of precedence.
+FAILURES = (
+    "AUTH_PERMISSION", "RATE_LIMIT", "UPSTREAM_5XX", "TIMEOUT", "BLOCKED_ANTI_BOT", "NETWORK_TRANSPORT", "PARSER_SCHEMA",
+    "CONFIGURATION", "INVALID_ARTIFACT", "MISSING_ARTIFACT", "UNKNOWN",
+)
+AUTH_CODES = ("accessdenied", "unauthorized", "invalidaccesskeyid", "signaturedoesnotmatch")
+AUTH = "access denied|unauthorized|invalid access key|invalidaccesskeyid|signaturedoesnotmatch"
+RATE = "too many requests|rate limit|ratelimit"
+BOT = "captcha|anti-bot|antibot|bot challenge|challenge page|cloudflare challenge|blocked by"
+NETWORK_TYPES = "connectionerror|proxyerror|sslerror|newconnectionerror"
+NETWORK = "connection reset|connection refused|name or service not known|temporary failure in name resolution|dns|network is unreachable"
+SETTINGS = "missing required environment variable|unknown production shard|must be all or a positive integer"
+
+
+def failure(message: Column, status: Column, kind: Column | None = None, code: Column | None = None) -> Column:
+    """Class of a failed request, from its message, HTTP status, type of error and code of the service."""
+    low = lambda x: F.lower(F.coalesce(x, F.lit(""))) if x is not None else F.lit("")
+    m, t, s = low(message), low(kind), F.coalesce(status, F.lit(0))
     return first_of(
         [
-            ((low == "") & (s == 0), "NONE"),
-            (low.rlike("timed? ?out|timeout"), "TIMEOUT"),
-            (low.rlike("captcha|challenge|access denied"), "BLOCKED"),
-            (low.rlike("name or service|dns|getaddrinfo"), "DNS"),
-            (low.rlike("certificate|ssl"), "TLS"),
-            (low.rlike("connection (?:reset|refused|aborted)"), "CONNECTION"),
-            (s == 429, "RATE_LIMITED"),
-            (s.isin(401, 403), "BLOCKED"),
-            (s == 404, "NOT_FOUND"),
-            (s >= 500, "SERVER_ERROR"),
-            (low.rlike("schema|parse|json"), "PARSE"),
+            (F.trim(low(code)).isin(*AUTH_CODES) | m.rlike(AUTH), "AUTH_PERMISSION"),
+            ((s == 429) | m.rlike(RATE), "RATE_LIMIT"),
+            (s.between(500, 599), "UPSTREAM_5XX"),
+            (t.contains("timeout") | m.rlike("timed out|timeout"), "TIMEOUT"),
+            (m.rlike(BOT), "BLOCKED_ANTI_BOT"),
+            (t.rlike(NETWORK_TYPES) | m.rlike(NETWORK), "NETWORK_TRANSPORT"),
+            (t.isin("jsondecodeerror", "unicodedecodeerror"), "PARSER_SCHEMA"),
+            ((t == "keyerror") | m.rlike(SETTINGS), "CONFIGURATION"),
+            (t == "invalidartifact", "INVALID_ARTIFACT"),
+            (t.isin("missingartifact", "filenotfounderror"), "MISSING_ARTIFACT"),
         ],
         "UNKNOWN",
     )

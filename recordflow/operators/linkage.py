@@ -1,13 +1,13 @@
 """Entity resolution: lossless blocking, ordered pair rules, order-stable greedy clusters, and merging.
 
-Two observations are the same if they share a URL; or have one title and overlapping references; or have one title and
-enough common 5-word shingles, relative to the smaller set.  Observations of one source with different ids are never
-the same, nor are those of different countries; disjoint references veto all but a shared URL.
-
-Every accepting rule needs a shared URL, an equal title, or a high containment, so candidates come from equi joins alone.  For
-containment the join runs on a prefix of each shingle set in the order of global rarity: a pair that reaches the
-threshold shares a shingle of the prefixes.  Crowded shingles therefore join only where they are all that a
-text has.
+Observations of one source with different ids are never the same, nor are those of different countries.  Else two
+observations are the same if they share a URL.  All other rules need titles, and references that are not disjoint: where
+a detail is not resolved, one title, a common reference and a close institution; where both are, one title and a close institution
+with a containment of 0.55 of their 5-word shingles, one title with 0.70, or nearly one title and a close institution with 0.78.
+
+Every accepting rule needs a shared URL, an equal title with a common reference, or a high containment, so candidates come from
+equi joins alone.  For containment the join runs on a prefix of each shingle set in the order of global rarity: a pair that
+reaches the threshold shares a shingle of the prefixes.  Equal sets are one set there, so copies never pair by their shingles.
 """
 
 from __future__ import annotations
@@ -20,18 +20,32 @@ from pyspark.sql import functions as F
 from recordflow.functions import text, urls
 
 
+GOOD_DETAIL = ("FULL", "PARTIAL")
+
+
 def features(obs: DataFrame) -> DataFrame:
-    """One row an observation with what the rules compare; input as ``plans.adapters.observations``, plus ``url``."""
-    w = F.when(F.col("detail_status") == "FULL", text.words(text.norm_alnum(F.col("body"))))
-    out = obs.withColumn("__w", F.coalesce(w, F.array().cast("array<string>")))
+    """One row an observation with what the rules compare; input as ``plans.adapters.observations``.
+
+    ``urls`` (array) or ``url``, and ``institution``, may be missing.
+    """
+    null = F.lit(None).cast("string")
+    there = lambda c, other=null: F.col(c) if c in obs.columns else other
+    body = F.coalesce("body", F.lit(""))
+    resolved = F.coalesce(F.upper("detail_status").isin(*GOOD_DETAIL), F.lit(False)) & (F.trim(body) != "")
+    w = F.when(resolved, text.words(text.norm_alnum(body)))
+    all_urls = there("urls", F.array(there("url")))
+    keys = F.transform(all_urls, lambda u: urls.match_key(F.coalesce(u, F.lit(""))))
+    out = obs.withColumns({"__w": F.coalesce(w, F.array().cast("array<string>")), "__resolved": resolved})
     out = out.select(
         "obs_ord",
-        "source_key",
-        F.col("source_job_id").cast("string").alias("source_job_id"),
-        "country",
-        urls.match_key(F.coalesce(F.col("url"), F.lit(""))).alias("url_key"),
+        F.lower(F.trim(F.coalesce("source_key", F.lit("")))).alias("source_key"),
+        F.trim(F.coalesce(F.col("source_job_id").cast("string"), F.lit(""))).alias("source_job_id"),
+        F.upper(F.coalesce("country", F.lit(""))).alias("country"),
+        F.array_distinct(F.filter(keys, lambda k: k != "")).alias("url_keys"),
         text.norm_alnum(F.col("title")).alias("title_key"),
-        text.tokens(F.col("title"), [r"\b[A-Z]{2,}\d+\b", r"\b\d{4,}\b"]).alias("refs"),
+        text.references(F.col("title")).alias("refs"),
+        text.norm_alnum(there("institution")).alias("institution_key"),
+        F.col("__resolved").alias("resolved"),
         # shingles as 64-bit hashes, a sixth of the bytes; a chance collision would need the same pair to meet twice
         F.transform(text.shingles(F.col("__w")), lambda s: F.xxhash64(s)).alias("grams"),
     )
@@ -44,30 +58,35 @@ def containment_pairs(f: DataFrame, least: float) -> DataFrame:
 
     A pair with containment c has min(|A|, |B|) * c common shingles, so some common one is among the
     first |S| - ceil(|S| * least) + 1 of the smaller set S; of the larger set any shingle may be it.  The join is
-    prefix against whole set, smaller against larger; sizes are compared by the distinct candidate pairs.
+    prefix against whole set, smaller against larger, of different sets only; the common shingles are then
+    counted from the distinct candidates.  Pairs of equal sets come from their digest.
     """
-    grams = f.select("obs_ord", F.size("grams").alias("n"), F.explode("grams").alias("g")).where("n > 0")
+    named = f.select("obs_ord", "grams").where(F.size("grams") > 0).withColumn("d", F.struct(F.xxhash64(F.sort_array("grams")).alias("h"), F.size("grams").alias("n")))
+    sets = named.groupBy("d").agg(F.min("obs_ord").alias("s"), F.any_value("grams").alias("grams")).select("d", "s", "grams").checkpoint()
+    members = named.select("obs_ord", "d").join(sets.select("d", "s"), "d").select("s", "obs_ord")
+    grams = sets.select("s", F.size("grams").alias("n"), F.explode("grams").alias("g"))
     rarity = grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1")
-    shared = grams.join(rarity, "g")
-    rare = F.row_number().over(W.partitionBy("obs_ord").orderBy("df", "g"))
+    shared = grams.join(rarity, "g").checkpoint()
+    rare = F.row_number().over(W.partitionBy("s").orderBy("df", "g"))
     # shingles found once never pair: they fill the rarest places of the prefix
-    kept = shared.withColumn("at", rare).withColumn("m", F.count("*").over(W.partitionBy("obs_ord")))
+    kept = shared.withColumn("at", rare).withColumn("m", F.count("*").over(W.partitionBy("s")))
     # a product in doubles may lie just above the whole number that it stands for, and cut the prefix by one too many
     common = F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9))
     head = kept.where(F.col("at") + (F.col("n") - F.col("m")) <= F.col("n") - common + 1)
-    small = head.select(F.col("obs_ord").alias("s"), F.col("n").alias("sn"), "g")
-    large = shared.select(F.col("obs_ord").alias("l"), F.col("n").alias("ln"), "g")
+    small = head.select("s", F.col("n").alias("sn"), "g")
+    large = shared.select(F.col("s").alias("l"), F.col("n").alias("ln"), "g")
     first = (F.col("sn") < F.col("ln")) | ((F.col("sn") == F.col("ln")) & (F.col("s") < F.col("l")))
     found = small.join(large, "g").where(first).select("s", "l").distinct()
-    sets = f.select("obs_ord", "grams")
+    # the smaller sets' arrays go once a candidate; the larger sets meet them shingle by shingle
     both = (
-        found.join(sets.withColumnsRenamed({"obs_ord": "s", "grams": "sg"}), "s")
-        .join(sets.withColumnsRenamed({"obs_ord": "l", "grams": "lg"}), "l")
-        .withColumn("containment", F.size(F.array_intersect("sg", "lg")) / F.size("sg"))
-    )
-    return both.where(F.col("containment") >= least).select(
-        F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b"), "containment"
+        found.join(sets.select("s", F.col("grams").alias("sg")), "s")
+        .join(sets.select(F.col("s").alias("l"), F.col("grams").alias("lg")), "l")
+        .select("s", "l", (F.size(F.array_intersect("sg", "lg")) / F.size("sg")).alias("containment"))
+        .where(F.col("containment") >= least)
     )
+    across = both.join(members.withColumnRenamed("obs_ord", "x"), "s").join(members.select(F.col("s").alias("l"), F.col("obs_ord").alias("y")), "l").select("x", "y", "containment")
+    copies = members.join(members.withColumnRenamed("obs_ord", "y"), "s").where("obs_ord < y").select(F.col("obs_ord").alias("x"), "y", F.lit(1.0).alias("containment"))
+    return across.unionByName(copies).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "containment")
 
 
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -89,38 +108,43 @@ def _sides(f: DataFrame) -> tuple[DataFrame, DataFrame]:
     return left, f.select(*[F.col(c).alias(f"b_{c}") for c in columns])
 
 
-def edges(f: DataFrame, near_title: float = 0.96) -> DataFrame:
+def edges(f: DataFrame, near_title: float = 0.96, near_institution: float = 0.90) -> DataFrame:
     """(a, b, rule) of all pairs that are the same, a before b."""
     left, right = _sides(f)
-    pair = lambda on: left.join(right, on).where("a_obs_ord < b_obs_ord").select(F.col("a_obs_ord").alias("a"), F.col("b_obs_ord").alias("b"))
-    by_url = pair((F.col("a_url_key") == F.col("b_url_key")) & (F.col("a_url_key") != ""))
-    refs = f.select("obs_ord", "title_key", F.explode("refs").alias("ref")).where("title_key <> ''")
-    one, two = (refs.select(F.col("obs_ord").alias(x), "title_key", "ref") for x in "ab")
-    by_ref = one.join(two, ["title_key", "ref"]).where("a < b").select("a", "b").distinct()
-    contained = containment_pairs(f, 0.55)
+    ordered = lambda df, *on: df.join(df.withColumnRenamed("a", "b"), list(on)).where("a < b").select("a", "b").distinct()
+    by_url = ordered(f.select(F.col("obs_ord").alias("a"), F.explode("url_keys").alias("url")), "url")
+    by_ref = ordered(f.where("title_key <> ''").select(F.col("obs_ord").alias("a"), "title_key", F.explode("refs").alias("ref")), "title_key", "ref")
+    none = F.lit(None).cast("double")
     out = (
-        by_url.withColumn("url", F.lit(True)).withColumn("containment", F.lit(None).cast("double"))
-        .unionByName(by_ref.withColumn("url", F.lit(False)).withColumn("containment", F.lit(None).cast("double")))
-        .unionByName(contained.withColumn("url", F.lit(False)))
+        by_url.withColumn("url", F.lit(True)).withColumn("containment", none)
+        .unionByName(by_ref.withColumn("url", F.lit(False)).withColumn("containment", none))
+        .unionByName(containment_pairs(f, 0.55).withColumn("url", F.lit(False)))
         .groupBy("a", "b").agg(F.max("url").alias("url"), F.max("containment").alias("containment"))
     )
     met = out.join(left.withColumnRenamed("a_obs_ord", "a"), "a").join(right.withColumnRenamed("b_obs_ord", "b"), "b")
-    same_source = (F.col("a_source_key") == F.col("b_source_key")) & (F.col("a_source_job_id") != F.col("b_source_job_id"))
-    elsewhere = F.col("a_country").isNotNull() & F.col("b_country").isNotNull() & (F.col("a_country") != F.col("b_country"))
+    col = lambda name: (F.col(f"a_{name}"), F.col(f"b_{name}"))
+    (ka, kb), (ia, ib), (ca, cb), (ta, tb), (na, nb) = (col(x) for x in ("source_key", "source_job_id", "country", "title_key", "institution_key"))
+    same_source = (ka != "") & (ka == kb) & (ia != "") & (ib != "") & (ia != ib)
+    elsewhere = (ca != "") & (cb != "") & (ca != cb)
     met = met.where(~same_source & ~elsewhere)
-    apart = (F.size("a_refs") > 0) & (F.size("b_refs") > 0) & (F.size(F.array_intersect("a_refs", "b_refs")) == 0)
-    titled = (F.col("a_title_key") != "") & (F.col("b_title_key") != "")
-    exact = F.col("a_title_key") == F.col("b_title_key")
-    c = F.coalesce("containment", F.lit(0.0))
-    common = F.size(F.array_intersect("a_refs", "b_refs")) > 0
-    sure = met.withColumn(
-        "rule",
-        F.when(F.col("url"), "URL").when(titled & exact & ~apart, F.when(common, "REF").when(c >= 0.55, "TITLE")),
-    )
-    # the costly measure is taken for the pairs that only it can accept
-    unsure = sure.where(F.col("rule").isNull() & titled & ~exact & ~apart & (c >= 0.78))
-    close = unsure.withColumn("ratio", title_ratio(F.col("a_title_key"), F.col("b_title_key"))).where(F.col("ratio") >= near_title)
-    return sure.where("rule IS NOT NULL").select("a", "b", "rule").unionByName(close.select("a", "b", F.lit("RATIO").alias("rule")))
+    common = F.size(F.array_intersect(*col("refs"))) > 0
+    apart = (F.size("a_refs") > 0) & (F.size("b_refs") > 0) & ~common
+    met = met.where(F.col("url") | ((ta != "") & (tb != "") & ~apart))
+    exact, c, both = ta == tb, F.coalesce("containment", F.lit(0.0)), F.col("a_resolved") & F.col("b_resolved")
+    told = (na != "") & (nb != "")
+    sure = F.when(F.col("url"), "URL").when(both & exact & (c >= 0.70), "TITLE")
+    # what is left needs a close institution, and one rule a close title
+    needs = F.when(~both & exact & common, "REF").when(both & exact & (c >= 0.55), "TITLE").when(both & ~exact & (c >= 0.78), "RATIO")
+    met = met.withColumn("sure", sure).withColumn("needs", F.when(F.col("sure").isNull() & told, needs))
+    done = met.where("sure IS NOT NULL").select("a", "b", F.col("sure").alias("rule"))
+    # the costly measures are taken for the pairs that only they can accept
+    open_ = met.where("needs IS NOT NULL")
+    equal = open_.where(na == nb).select("a", "b", "needs", ta.alias("ta"), tb.alias("tb"))
+    like = open_.where(na != nb).select("a", "b", "needs", ta.alias("ta"), tb.alias("tb"), title_ratio(na, nb).alias("ratio"))
+    close = equal.unionByName(like.where(F.col("ratio") >= near_institution).drop("ratio"))
+    titled = close.where("needs = 'RATIO'").withColumn("ratio", title_ratio(F.col("ta"), F.col("tb"))).where(F.col("ratio") >= near_title)
+    rules = close.where("needs <> 'RATIO'").select("a", "b", F.col("needs").alias("rule"))
+    return done.unionByName(rules).unionByName(titled.select("a", "b", F.col("needs").alias("rule")))
 
 
 def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:

@@ -47,7 +47,7 @@ def nearest_rank(df: DataFrame, group: str, value: str, shares: list[float]) ->
 def id_digest(df: DataFrame, key: str) -> DataFrame:
     """An order-independent digest of a set of ids: the sum and the exclusive or of their hashes, and their count."""
     h = F.xxhash64(F.col(key).cast("string"))
-    return df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("digest"))
+    return df.agg(F.count("*").alias("n"), F.bit_xor(h).alias("xor"), F.sum(h.cast("decimal(38,0)")).alias("sum"))
 
 
 def sorted_digest(df: DataFrame, group: str, key: str) -> DataFrame:

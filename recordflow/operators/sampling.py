@@ -43,7 +43,7 @@ def first_occurrence(df: DataFrame, key: str, order: str, *columns: str) -> Data
 def audit(df: DataFrame, key: str, run: str, size: int) -> DataFrame:
     """A keyed random sample of ``size``."""
     rank = F.sha2(F.concat(F.lit(run), F.lit("\u0000"), F.col(key).cast("string")), 256)
-    return df.withColumn("audit_rank", rank).orderBy("audit_rank").limit(size)
+    return df.withColumn("audit_rank", rank).orderBy("audit_rank", key).limit(size)
 
 
 def retention(df: DataFrame, family: str, order: list[Column], keep: int, too_old: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 An entity is NEW when first seen, REOPENED when it was closed and is open again, MATERIALLY_CHANGED when compared fields
 differ, and else SEEN.  Fields that come from the detail are compared and stored only while the detail is
-resolved; the last resolved value stays otherwise.
+resolved; the last resolved value stays otherwise, so that a lost detail is no change.
 """
 
 from __future__ import annotations
@@ -36,6 +36,11 @@ def event(known: Column, was: Column, now: Column, why: Column) -> Column:
     )
 
 
+def reopened(event_: Column, why: Column) -> Column:
+    """The reasons, with the lifecycle first where an entity is open again."""
+    return F.when(event_ == "REOPENED", F.concat(F.array(F.lit("lifecycle")), why)).otherwise(why)
+
+
 def quality_event(was: Column, now: Column) -> Column:
     return F.when(~was & now, "DETAIL_RESOLVED").when(was & ~now, "DETAIL_UNRESOLVED")
 
@@ -55,7 +60,7 @@ def step(state: DataFrame, batch: DataFrame) -> DataFrame:
         F.array_compact(
             F.array(
                 F.when(F.col("resolved") & changed(F.col("s_value"), F.col("value")), "value"),
-                F.when(changed(F.col("s_detail"), F.col("detail")), "detail"),
+                F.when(F.col("resolved") & F.col("s_detail").isNotNull() & changed(F.col("s_detail"), F.col("detail")), "detail"),
             )
         ),
     ).otherwise(F.array().cast("array<string>"))
@@ -69,9 +74,9 @@ def step(state: DataFrame, batch: DataFrame) -> DataFrame:
         pick(F.col("lifecycle"), "lifecycle").alias("lifecycle"),
         pick(F.col("resolved"), "resolved").alias("resolved"),
         pick(value, "value").alias("value"),
-        pick(F.col("detail"), "detail").alias("detail"),
+        F.when(here & F.col("resolved"), F.col("detail")).otherwise(F.col("s_detail")).alias("detail"),
         pick(e, "event").alias("event"),
-        pick(why, "reasons").alias("reasons"),
+        pick(reopened(e, why), "reasons").alias("reasons"),
     )
 
 
@@ -86,11 +91,12 @@ def replay(batches: DataFrame) -> DataFrame:
     any_yet = F.max("resolved").over(upto)
     last = F.last(F.when(F.col("resolved"), F.struct("value")), True).over(upto).getField("value")
     run = batches.withColumn("stored", F.when(any_yet, last).otherwise(F.first("value").over(upto)))
+    run = run.withColumn("stored_detail", F.last(F.when(F.col("resolved"), F.col("detail")), True).over(upto))
     run = run.withColumns(
         {
             "was": F.lag("lifecycle").over(order),
             "old": F.lag("stored").over(order),
-            "old_detail": F.lag("detail").over(order),
+            "old_detail": F.lag("stored_detail").over(order),
             "was_resolved": F.lag("resolved").over(order),
             "times_seen": F.row_number().over(order).cast("long"),
         }
@@ -101,11 +107,12 @@ def replay(batches: DataFrame) -> DataFrame:
         F.array_compact(
             F.array(
                 F.when(F.col("resolved") & changed(F.col("old"), F.col("stored")), "value"),
-                F.when(changed(F.col("old_detail"), F.col("detail")), "detail"),
+                F.when(F.col("resolved") & F.col("old_detail").isNotNull() & changed(F.col("old_detail"), F.col("detail")), "detail"),
             )
         ),
     ).otherwise(F.array().cast("array<string>"))
     run = run.withColumn("reasons", why)
+    e = event(known, F.col("was"), F.col("lifecycle"), F.col("reasons"))
     return run.select(
         "id",
         "generation",
@@ -113,9 +120,9 @@ def replay(batches: DataFrame) -> DataFrame:
         "lifecycle",
         F.col("stored").alias("value"),
         "detail",
-        event(known, F.col("was"), F.col("lifecycle"), F.col("reasons")).alias("event"),
+        e.alias("event"),
         quality_event(F.col("was_resolved"), F.col("resolved")).alias("quality_event"),
-        "reasons",
+        reopened(e, F.col("reasons")).alias("reasons"),
     )
 
 

@@ -18,17 +18,30 @@ def _url():
 
 
 def _obs(spark, sf_dir):
+    """Observations with URLs, institutions of their country, and references in some titles."""
     use_checkpoints(spark)
-    return observations(spark, sf_dir).withColumn("url", _url())
+    i = F.col("obs_ord")
+    institution = F.when(i % 6 == 0, "").otherwise(F.concat(F.lit("University of "), F.coalesce("country", F.lit("X"))))
+    title = F.when(i % 40 == 7, "Fellow, ref. no-7781").when(i % 40 == 8, "Fellow, Ref. No-7781").otherwise(F.col("title"))
+    detail = F.when(i % 20 == 7, "UNAVAILABLE").otherwise(F.col("detail_status"))
+    return observations(spark, sf_dir).withColumns({"url": _url(), "institution": institution, "title": title, "detail_status": detail})
 
 
 _OBS = OBS_SQL + r""",
-f AS (SELECT obs_ord, source_key, country, CASE WHEN obs_ord % 50 = 0 THEN 'example.com/a/' || (obs_ord % 450) ELSE '' END AS url_key, """ + ALNUM.format(x="title") + r""" AS title_key FROM obs)"""
+o AS (SELECT * REPLACE (CASE obs_ord % 40 WHEN 7 THEN 'Fellow, ref. no-7781' WHEN 8 THEN 'Fellow, Ref. No-7781' ELSE title END AS title, CASE WHEN obs_ord % 20 = 7 THEN 'UNAVAILABLE' ELSE detail_status END AS detail_status),
+  CASE WHEN obs_ord % 6 = 0 THEN '' ELSE 'University of ' || coalesce(country, 'X') END AS institution FROM obs),
+f AS (SELECT obs_ord, source_key, country, CASE WHEN obs_ord % 50 = 0 THEN 'example.com/a/' || (obs_ord % 450) ELSE '' END AS url_key, """ + ALNUM.format(x="title") + r""" AS title_key,
+  upper(institution) AS inst, obs_ord % 40 IN (7, 8) AS ref, detail_status IN ('FULL', 'PARTIAL') AND trim(body) <> '' AS resolved FROM o)"""
+# all references are one, so that none are disjoint
 _APART = "a.source_key <> b.source_key AND (a.country IS NULL OR b.country IS NULL OR a.country = b.country)"
-_CONT = f"""{SHINGLES_SQL}, full_grams AS (SELECT g.* FROM grams g JOIN documents d USING (doc_id) WHERE n_chars >= 200),
+_CONT = f"""{SHINGLES_SQL}, full_grams AS (SELECT g.* FROM grams g JOIN documents d USING (doc_id) WHERE trim(text) <> '' AND n_chars > 0 AND doc_id % 20 <> 7),
   n AS (SELECT doc_id, count(*) AS n FROM full_grams GROUP BY doc_id),
   c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM full_grams a JOIN full_grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
   cont AS (SELECT a, b, k / least(x.n, y.n) AS containment FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b)"""
+_EDGES = f"""{_OBS}, {_CONT}, pairs AS (SELECT a.obs_ord AS a, b.obs_ord AS b, a.url_key <> '' AND a.url_key = b.url_key AS url, a.title_key <> '' AND a.title_key = b.title_key AS exact, a.ref AND b.ref AS common,
+    a.resolved AND b.resolved AS both_, a.inst <> '' AND b.inst <> '' AND a.inst = b.inst AS close, coalesce(containment, 0) AS c
+    FROM f a JOIN f b ON a.obs_ord < b.obs_ord LEFT JOIN cont ON cont.a = a.obs_ord AND cont.b = b.obs_ord WHERE {_APART}),
+  edges AS (SELECT a, b, CASE WHEN url THEN 'URL' WHEN exact AND both_ AND c >= 0.7 THEN 'TITLE' WHEN exact AND NOT both_ AND common AND close THEN 'REF' WHEN exact AND both_ AND close AND c >= 0.55 THEN 'TITLE' END AS rule FROM pairs)"""
 
 
 @query("containment_pairs", f"WITH {_CONT} SELECT a, b, round(containment, 6) AS containment FROM cont WHERE containment >= 0.55")
@@ -41,13 +54,15 @@ def link_candidates_url(spark, sf_dir):
     return linkage.edges(linkage.features(_obs(spark, sf_dir))).where("rule = 'URL'").select("a", "b")
 
 
-@query("link_candidates_title", f"WITH {_OBS}, {_CONT} SELECT a.obs_ord AS a, b.obs_ord AS b, round(containment, 6) AS containment FROM f a JOIN f b ON a.title_key = b.title_key AND a.title_key <> '' AND a.obs_ord < b.obs_ord JOIN cont ON cont.a = a.obs_ord AND cont.b = b.obs_ord WHERE containment >= 0.55 AND {_APART}")
+@query("link_candidates_title", f"WITH {_EDGES} SELECT a, b, rule FROM edges WHERE rule IN ('TITLE', 'REF')")
 def link_candidates_title(spark, sf_dir):
-    f = linkage.features(_obs(spark, sf_dir))
-    c = linkage.containment_pairs(f, 0.55).withColumn("containment", F.round("containment", 6))
-    return c.join(linkage.edges(f).where("rule = 'TITLE' OR rule = 'REF' OR rule = 'URL'"), ["a", "b"]).join(
-        f.select(F.col("obs_ord").alias("a"), F.col("title_key").alias("ta")), "a"
-    ).join(f.select(F.col("obs_ord").alias("b"), F.col("title_key").alias("tb")), "b").where("ta = tb AND ta <> ''").select("a", "b", "containment")
+    return linkage.edges(linkage.features(_obs(spark, sf_dir))).where("rule IN ('TITLE', 'REF')")
+
+
+@query("link_edges_exact", f"WITH {_EDGES} SELECT a, b, rule FROM edges WHERE rule IS NOT NULL")
+def link_edges_exact(spark, sf_dir):
+    """All links but those of nearly equal titles, whose measure SQL has not."""
+    return linkage.edges(linkage.features(_obs(spark, sf_dir))).where("rule <> 'RATIO'")
 
 
 @query("link_edges")

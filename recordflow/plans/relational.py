@@ -238,9 +238,9 @@ def predisposition(spark, sf_dir):
     return o.select("obs_ord", d.alias("disposition"), codes.alias("codes"))
 
 
-@query("leak_check", "SELECT event_id, contains(props, '\"k\"') AND contains(props, '9') AS leaks FROM events")
+@query("leak_check", "SELECT event_id, contains(props, '\"k\"') OR contains(props, '9') AS leaks FROM events")
 def leak_check(spark, sf_dir):
-    leaks = F.forall(F.array(F.lit('"k"'), F.lit("9")), lambda k: F.contains("props", k))
+    leaks = F.exists(F.array(F.lit('"k"'), F.lit("9")), lambda k: F.contains("props", k))
     return events(spark, sf_dir).select("event_id", leaks.alias("leaks"))
 
 
@@ -543,11 +543,10 @@ def union_fanin(spark, sf_dir):
 
 @query(
     "ordered_distinct",
-    r"WITH w AS (SELECT doc_id, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, list_slice(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), 1, 40) AS l FROM documents)), f AS (SELECT doc_id, w, min(i) AS i FROM w GROUP BY ALL) SELECT doc_id, list(w ORDER BY i) AS codes FROM f GROUP BY doc_id",
+    r"WITH w AS (SELECT doc_id, unnest(l) AS w, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') AS l FROM documents)), f AS (SELECT doc_id, w, min(i) AS i FROM w GROUP BY ALL) SELECT doc_id, list(w ORDER BY i) AS codes FROM f GROUP BY doc_id",
 )
 def ordered_distinct(spark, sf_dir):
-    first = F.slice(F.split(text.squeeze(F.col("text")), " "), 1, 40)
-    return docs(spark, sf_dir).select("doc_id", F.array_distinct(first).alias("codes"))
+    return docs(spark, sf_dir).select("doc_id", F.array_distinct(F.split(text.squeeze(F.col("text")), " ")).alias("codes"))
 
 
 @query(

@@ -171,15 +171,18 @@ def lookahead_mismatch(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", miss.alias("mismatch"))
 
 
-TOKENS = [r"\b[A-Z]{2,}\d+\b", r"\b\d{4,}\b"]
+_REFS = [" (2024/15-AB)", " KU2023/118", " Ref. No-7781 and ref: x_91", "", " REFERENCE A/99-B 12/34/XY", " AB12 2024"]
+_REF_TITLE = f"upper(source || {_REFS!r}[doc_id % {len(_REFS)} + 1] || '-' || doc_id)"
 
 
 @query(
     "reference_tokens",
-    "SELECT doc_id, list_sort(list_distinct(list_concat(" + ", ".join(f"regexp_extract_all(text, '{p}')" for p in TOKENS) + "))) AS refs FROM documents",
+    rf"""SELECT doc_id, list_sort(list_distinct(list_transform({' || '.join(f"regexp_extract_all({_REF_TITLE}, '{p}')" for p in text.REFERENCES)}, lambda x: regexp_replace(x, '\s+', '', 'g')))) AS refs FROM documents""",
 )
 def reference_tokens(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", text.tokens(F.col("text"), TOKENS).alias("refs"))
+    ref = F.element_at(F.array(*[F.lit(x) for x in _REFS]), (F.col("doc_id") % len(_REFS) + 1).cast("int"))
+    title = F.concat("source", ref, F.lit("-"), F.col("doc_id").cast("string"))
+    return docs(spark, sf_dir).select("doc_id", text.references(title).alias("refs"))
 
 
 SHINGLES_SQL = f"""toks AS (SELECT doc_id, list_filter(string_split({T_ALNUM}, ' '), lambda x: x <> '') AS w FROM documents),
@@ -343,16 +346,23 @@ def market_tier(spark, sf_dir):
     return o.select("obs_ord", classify.tier(F.col("country"), {"CORE": ["GB", "DE"], "SECONDARY": ["FR"]}).alias("tier"), "detail_status")
 
 
+_MESSAGES = ["", "Access Denied", "read timed out", "Too many requests", "captcha shown", "connection refused", "Unknown production shard x", "failed", "blocked by policy", "no DNS answer"]
+_STATUSES = [0, 429, 503, 404, 0, 599, 600]
+_TYPES = ["", "ReadTimeout", "ProxyError", "JSONDecodeError", "KeyError", "ValueError", "InvalidArtifact", "FileNotFoundError", "", "", ""]
+_CODES = ["", "", "SignatureDoesNotMatch", "", ""]
+
+
 @query(
     "failure_class",
-    """SELECT event_id, CASE WHEN k = 0 THEN 'NONE' WHEN k % 7 = 0 THEN 'TIMEOUT' WHEN k % 5 = 0 THEN 'RATE_LIMITED' WHEN k % 3 = 0 THEN 'SERVER_ERROR'
-      WHEN k % 2 = 0 THEN 'BLOCKED' ELSE 'UNKNOWN' END AS failure FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN event_id ELSE 0 END AS k FROM events)""",
+    f"""WITH e AS (SELECT event_id, lower({_MESSAGES!r}[event_id % {len(_MESSAGES)} + 1]) AS m, {_STATUSES!r}[event_id // 3 % {len(_STATUSES)} + 1] AS s, lower({_TYPES!r}[event_id // 2 % {len(_TYPES)} + 1]) AS t, {_CODES!r}[event_id // 5 % {len(_CODES)} + 1] AS c FROM events)
+    SELECT event_id, CASE WHEN c <> '' OR m = 'access denied' THEN 'AUTH_PERMISSION' WHEN s = 429 OR m = 'too many requests' THEN 'RATE_LIMIT' WHEN s IN (503, 599) THEN 'UPSTREAM_5XX'
+      WHEN t = 'readtimeout' OR m = 'read timed out' THEN 'TIMEOUT' WHEN m IN ('captcha shown', 'blocked by policy') THEN 'BLOCKED_ANTI_BOT' WHEN t = 'proxyerror' OR m IN ('connection refused', 'no dns answer') THEN 'NETWORK_TRANSPORT'
+      WHEN t = 'jsondecodeerror' THEN 'PARSER_SCHEMA' WHEN t = 'keyerror' OR m LIKE 'unknown production shard%' THEN 'CONFIGURATION' WHEN t = 'invalidartifact' THEN 'INVALID_ARTIFACT' WHEN t = 'filenotfounderror' THEN 'MISSING_ARTIFACT' ELSE 'UNKNOWN' END AS failure FROM e""",
 )
 def failure_class(spark, sf_dir):
-    k = F.when(F.col("event_type") == "error", F.col("event_id")).otherwise(0)
-    status = F.when(k % 5 == 0, 429).when(k % 3 == 0, 503).when(k % 2 == 0, 403)
-    message = F.when(k == 0, "").when(k % 7 == 0, "read timed out").otherwise("failed")
-    return table(spark, sf_dir, "events").select("event_id", classify.failure(message, F.when(k > 0, status)).alias("failure"))
+    pick = lambda v, by: F.element_at(F.array(*[F.lit(x) for x in v]), (F.floor(F.col("event_id") / by) % len(v) + 1).cast("int"))
+    found = classify.failure(pick(_MESSAGES, 1), pick(_STATUSES, 3), pick(_TYPES, 2), pick(_CODES, 5))
+    return table(spark, sf_dir, "events").select("event_id", found.alias("failure"))
 
 
 @query(

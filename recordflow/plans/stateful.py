@@ -13,15 +13,21 @@ from .registry import query
 
 _SNAP = """snap AS (SELECT user_id AS id, ts::DATE AS generation, arg_max(CASE WHEN event_type = 'error' THEN 'CLOSED' ELSE 'OPEN' END, (ts, event_id)) AS lifecycle,
   arg_max(event_type <> 'view', (ts, event_id)) AS resolved, arg_max(value, (ts, event_id)) AS value, arg_max(props, (ts, event_id)) AS detail FROM events GROUP BY ALL)"""
-_RUN = f"""{_SNAP}, st AS (SELECT *, CASE WHEN max(resolved::INT) OVER u = 1 THEN last_value(CASE WHEN resolved THEN value END IGNORE NULLS) OVER u ELSE first_value(value) OVER u END AS stored,
+_RUN = f"""{_SNAP}, st AS (SELECT *, CASE WHEN max(resolved::INT) OVER u = 1 THEN last_value(CASE WHEN resolved THEN value END IGNORE NULLS) OVER u ELSE first_value(value) OVER u END AS stored, last_value(CASE WHEN resolved THEN detail END IGNORE NULLS) OVER u AS stored_detail,
   row_number() OVER u AS times_seen FROM snap WINDOW u AS (PARTITION BY id ORDER BY generation ROWS UNBOUNDED PRECEDING)),
-lagged AS (SELECT *, lag(lifecycle) OVER w AS was, lag(stored) OVER w AS old, lag(detail) OVER w AS old_detail, lag(resolved) OVER w AS was_resolved FROM st WINDOW w AS (PARTITION BY id ORDER BY generation)),
-run AS (SELECT *, CASE WHEN times_seen > 1 THEN list_filter([CASE WHEN resolved AND old IS DISTINCT FROM stored THEN 'value' END, CASE WHEN old_detail IS DISTINCT FROM detail THEN 'detail' END], lambda x: x IS NOT NULL) ELSE [] END AS reasons FROM lagged),
+lagged AS (SELECT *, lag(lifecycle) OVER w AS was, lag(stored) OVER w AS old, lag(stored_detail) OVER w AS old_detail, lag(resolved) OVER w AS was_resolved FROM st WINDOW w AS (PARTITION BY id ORDER BY generation)),
+run AS (SELECT *, CASE WHEN times_seen > 1 THEN CASE WHEN was = 'CLOSED' AND lifecycle = 'OPEN' THEN ['lifecycle'] ELSE [] END || list_filter([CASE WHEN resolved AND old IS DISTINCT FROM stored THEN 'value' END, CASE WHEN resolved AND old_detail IS NOT NULL AND old_detail <> detail THEN 'detail' END], lambda x: x IS NOT NULL) ELSE [] END AS reasons FROM lagged),
 ev AS (SELECT *, CASE WHEN times_seen = 1 THEN 'NEW' WHEN was = 'CLOSED' AND lifecycle = 'OPEN' THEN 'REOPENED' WHEN len(reasons) > 0 THEN 'MATERIALLY_CHANGED' ELSE 'SEEN' END AS event,
   CASE WHEN NOT was_resolved AND resolved THEN 'DETAIL_RESOLVED' WHEN was_resolved AND NOT resolved THEN 'DETAIL_UNRESOLVED' END AS quality_event FROM run)"""
 
 
-def snapshots(spark, sf_dir):
+#: Days of a period, so that a few generations hold all events.
+_PERIOD = 11
+_PERIOD_SQL = f"(DATE '2024-01-01' + (date_diff('day', DATE '2024-01-01', ts::DATE) // {_PERIOD} * {_PERIOD})::INT)"
+
+
+def snapshots(spark, sf_dir, days=1):
+    """The last event of each user and period of days."""
     last = F.max_by(
         F.struct(
             F.when(F.col("event_type") == "error", "CLOSED").otherwise("OPEN").alias("lifecycle"),
@@ -32,7 +38,9 @@ def snapshots(spark, sf_dir):
         F.struct("ts", "event_id"),
     )
     e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("user_id").alias("id"), F.to_date("ts").alias("generation")).agg(last.alias("x")).select("id", "generation", "x.*")
+    start = F.lit("2024-01-01").cast("date")
+    period = F.date_add(start, (F.floor(F.date_diff(F.to_date("ts"), start) / days) * days).cast("int"))
+    return e.groupBy(F.col("user_id").alias("id"), period.alias("generation")).agg(last.alias("x")).select("id", "generation", "x.*")
 
 
 @query("state_replay", f"WITH {_RUN} SELECT id, generation, times_seen, lifecycle, stored AS value, detail, event, quality_event, reasons FROM ev")
@@ -76,16 +84,13 @@ def state_summary(spark, sf_dir):
     return run.groupBy("generation").agg(n("NEW").alias("new"), n("SEEN").alias("seen"), n("MATERIALLY_CHANGED").alias("changed"), n("REOPENED").alias("reopened"))
 
 
-_THREE = "generation < DATE '2024-01-04'"
-
-
-@query("state_step", f"WITH {_RUN.replace('FROM events GROUP BY ALL', 'FROM events WHERE ts < DATE ' + chr(39) + '2024-01-04' + chr(39) + ' GROUP BY ALL')} SELECT id, min(generation) AS first_generation, max(generation) AS last_generation, count(*) AS times_seen, arg_max(lifecycle, generation) AS lifecycle, arg_max(stored, generation) AS value, arg_max(event, generation) AS event FROM ev GROUP BY id")
+@query("state_step", f"WITH {_RUN.replace('ts::DATE AS generation', _PERIOD_SQL + ' AS generation')} SELECT id, min(generation) AS first_generation, max(generation) AS last_generation, count(*) AS times_seen, arg_max(lifecycle, generation) AS lifecycle, arg_max(stored, generation) AS value, arg_max(event, generation) AS event FROM ev GROUP BY id")
 def state_step(spark, sf_dir):
-    """Three generations folded one by one."""
+    """Generations folded one by one."""
     now = spark.createDataFrame([], state.EMPTY_STATE)
-    seen = snapshots(spark, sf_dir)
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        now = state.step(now, seen.where(F.col("generation") == F.lit(day).cast("date")))
+    seen = snapshots(spark, sf_dir, _PERIOD)
+    for day in [r[0] for r in seen.select("generation").distinct().orderBy("generation").collect()]:
+        now = state.step(now, seen.where(F.col("generation") == F.lit(day)))
     return now.select("id", "first_generation", "last_generation", "times_seen", "lifecycle", "value", "event")
 
 
@@ -100,20 +105,25 @@ def lifecycle_anomalies(spark, sf_dir):
     return state.anomalies(table(spark, sf_dir, "events"))
 
 
-def _streamed(spark, stream, name, mode="append"):
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", shared_dir(spark, "stream")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+def _streamed(spark, stream, mode="append"):
+    """What a stream gives, by way of Parquet in the shared folder: an appending one as files, a complete one by its last batch."""
+    at = shared_dir(spark, "streamed")
+    out = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True)
+    if mode == "append":
+        out.format("parquet").option("path", f"{at}/out").start().awaitTermination()
+    else:
+        out.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{at}/out")).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
 
 @query("state_stream", f"WITH {_RUN} SELECT id, generation, times_seen, lifecycle, stored AS value, event FROM ev")
 def state_stream_(spark, sf_dir):
-    """The replay as a stream of snapshots; the memory sink is for small inputs such as this check."""
+    """The replay as a stream of snapshots."""
     at = shared_dir(spark, "snapshots")
-    snapshots(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{at}/in")
+    snapshots(spark, sf_dir).write.mode("overwrite").parquet(f"{at}/in")
     seen = spark.read.parquet(f"{at}/in")
     stream = spark.readStream.schema(seen.schema).parquet(f"{at}/in")
-    return _streamed(spark, state_stream.fold(stream), "recordflow_state_stream")
+    return _streamed(spark, state_stream.fold(stream))
 
 
 @query("windowed_stream", "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL")
@@ -121,5 +131,5 @@ def windowed_stream(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     stream = spark.readStream.schema(e.schema).parquet(f"{sf_dir}/events.parquet*")
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    out = _streamed(spark, state_stream.windowed_counts(stream), "recordflow_windowed_stream", "complete")
+    out = _streamed(spark, state_stream.windowed_counts(stream), "complete")
     return out.withColumn("value", F.round("value", 4))

@@ -15,18 +15,18 @@ STATE = "times_seen long, lifecycle string, value double, ever boolean, detail s
 def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     n, lifecycle, value, ever, detail = state.get if state.exists else (0, None, None, False, None)
     out = []
-    for rows in batches:
-        for r in rows.sort_values("generation").itertuples():
-            known, old = n > 0, value
-            if r.resolved:
-                value, ever = r.value, True
-            elif not known:
-                value = r.value
-            changed = known and ((r.resolved and old != value) or detail != r.detail)
-            reopened = known and lifecycle == "CLOSED" and r.lifecycle == "OPEN"
-            event = "NEW" if not known else "REOPENED" if reopened else "MATERIALLY_CHANGED" if changed else "SEEN"
-            n, lifecycle, detail = n + 1, r.lifecycle, r.detail
-            out.append((key[0], r.generation, n, lifecycle, value, event))
+    rows = pd.concat(list(batches))  # of one entity in one micro-batch; its parts come in any order
+    for r in rows.sort_values("generation").itertuples():
+        known, old = n > 0, value
+        if r.resolved:
+            value, ever = r.value, True
+        elif not known:
+            value = r.value
+        changed = known and r.resolved and (old != value or (detail is not None and detail != r.detail))
+        reopened = known and lifecycle == "CLOSED" and r.lifecycle == "OPEN"
+        event = "NEW" if not known else "REOPENED" if reopened else "MATERIALLY_CHANGED" if changed else "SEEN"
+        n, lifecycle, detail = n + 1, r.lifecycle, r.detail if r.resolved else detail
+        out.append((key[0], r.generation, n, lifecycle, value, event))
     state.update((n, lifecycle, value, ever, detail))
     yield pd.DataFrame(out, columns=["id", "generation", "times_seen", "lifecycle", "value", "event"])
 

@@ -43,8 +43,8 @@ def test_hamming(spark):
 
 
 def test_failures(spark):
-    got = values(spark, classify.failure(F.col("x"), F.col("y")), ("Read timed out", 503), ("", 404), ("oops", None), (None, None), schema="x string, y int")
-    assert got == ["TIMEOUT", "NOT_FOUND", "UNKNOWN", "NONE"]
+    got = values(spark, classify.failure(F.col("x"), F.col("y")), ("Read timed out", 503), ("Read timed out", 404), ("oops", None), (None, None), schema="x string, y int")
+    assert got == ["UPSTREAM_5XX", "TIMEOUT", "UNKNOWN", "UNKNOWN"] and set(got) <= set(classify.FAILURES)
 
 
 def test_decision_list(spark):
@@ -143,7 +143,7 @@ def test_linkage_rules(spark):
     ]
     obs = spark.createDataFrame(rows, "obs_ord long, source_key string, source_job_id long, title string, country string, body string, url string")
     got = linkage.edges(linkage.features(obs.withColumn("detail_status", F.lit("FULL")))).collect()
-    assert {(r.a, r.b): r.rule for r in got} == {(0, 1): "REF", (1, 2): "REF", (4, 5): "URL"}
+    assert {(r.a, r.b): r.rule for r in got} == {(0, 1): "TITLE", (1, 2): "TITLE", (4, 5): "URL"}
 
 
 def test_fold_equals_replay(spark):
