@@ -13,8 +13,8 @@ share of the ranks, and only that share is ordered.  Documents meet only tables
 those are written first, so that the planner broadcasts them if their files are small, and joins otherwise.
 
 Defined cases: a null or empty text has size 0 and is never taken; null sources form one source, last in
-order; null ids are ranked by their texts; rows equal in id and text rank equally and are taken or left
-together; an empty table gives an empty result; extra columns are ignored by ``mixed_sizes`` and kept by
+order; null ids are ranked by their texts; rows equal in id and text rank equally, and where the cut falls between
+them a number of them is taken, so that the target is met with ties too; an empty table gives an empty result; extra columns are ignored by ``mixed_sizes`` and kept by
 ``mixed_documents``.
 """
 
@@ -149,12 +149,18 @@ def plan(sized: DataFrame, mix: Mix) -> DataFrame:
     inside = inside.select("key", (F.col("need") - F.col("before")).alias("need"), "size", "rank")
     second = written(_cells(inside, F.shiftright("rank", 24)), "cells")
     last = inside.join(second, "key").where(F.shiftright("rank", 24) == F.col("cell"))
-    upto = F.sum("size").over(W.partitionBy("key").orderBy("rank"))
-    taken = last.withColumn("upto", upto).where("before + upto - size / 2 < need")
-    taken = taken.groupBy("key").agg(F.max("rank").alias("rank"))
+    # rows of one rank are counted, as equal rows may be many; of the last rank a number is taken
+    ranks = last.groupBy("key", "need", "before", "rank").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    upto = F.sum("words").over(W.partitionBy("key").orderBy("rank"))
+    one = F.col("words") / F.col("n")
+    rows = F.ceil((F.col("need") - (F.col("before") + upto - F.col("words"))) / one + 0.5) - 1
+    taken = ranks.withColumn("k", F.least(rows, F.col("n")).cast("long")).where("k > 0")
+    taken = taken.groupBy("key").agg(F.max(F.struct("rank", "k", "n")).alias("x"))
+    none = F.lit(0).cast("long")
     cut = second.join(taken, "key", "left").select(
-        "key", F.coalesce("rank", F.shiftleft("cell", 24) - 1).alias("last_rank")
-    )
+        "key", F.coalesce("x.rank", F.shiftleft("cell", 24) - 1).alias("last_rank"),
+        F.coalesce("x.k", none).alias("last_k"), F.coalesce("x.n", none).alias("last_n"),
+    )
     return written(steps.join(cut, "key", "left").drop("words"), "plan")
 
 
@@ -170,25 +176,68 @@ def _copies() -> Column:
     return F.col("whole") + F.coalesce(more, F.lit(False)).cast("long")
 
 
+def _tied() -> Column:
+    """Rows of a last rank of which some are taken and some are not."""
+    last = (F.col("pi") > 0) & (_rank(F.col("u"), F.col("pi")) == F.col("last_rank"))
+    return F.coalesce(last & (F.col("last_k") < F.col("last_n")), F.lit(False))
+
+
+def _numbered(tied: DataFrame, columns: list[str]) -> DataFrame:
+    """Equal rows as one, with their number ``n`` and how many of them are ``taken``; different rows of a rank take turns in order."""
+    own = tied.groupBy("key", "u", "whole", "last_k", *columns).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.partitionBy("key").orderBy("u", F.xxhash64(*columns)).rowsBetween(W.unboundedPreceding, 0))
+    first = F.greatest(F.lit(0), F.col("last_k") - (upto - F.col("n")))
+    return own.withColumn("chosen", F.least(F.col("n"), first))
+
+
+def _repeated(rows: DataFrame, n: str) -> DataFrame:
+    """Every row ``n`` times, with ``at`` from 0; in blocks that are dealt over all tasks, as n may be large."""
+    blocks = rows.where(F.col(n) > 0).withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / BLOCK))))
+    size = F.least(F.lit(BLOCK), F.col(n) - F.col("block") * BLOCK)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = blocks.repartition(tasks).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), size - 1)))
+    return each.withColumn("at", F.col("at") + F.col("block") * BLOCK).drop("block")
+
+
+_KEPT = ("doc_id", "size", "source_size", "target")
+#: Copies of one row that are made in one piece.
+BLOCK = 4096
+
+
+def _splits(steps: DataFrame) -> bool:
+    """Whether the cut of some source falls between rows of one rank; ``steps`` has a few rows a source."""
+    return bool(steps.where("last_k < last_n").limit(1).count())
+
+
 def mixed_sizes(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text="text", source="source") -> DataFrame:
     """One row a document: doc_id, size, source_size, target, taken, copies."""
     sized = written(_sized(docs, mix, id_col, text, source), "sized")
-    found = sized.join(plan(sized, mix), ["key", "class"])
-    return found.select(
-        "doc_id", "size", "source_size", "target", (_copies() * F.col("size")).alias("taken"), _copies().alias("copies")
-    )
+    steps = plan(sized, mix)
+    found = sized.join(steps, ["key", "class"])
+    result = lambda copies: [F.col(c) for c in _KEPT] + [(copies * F.col("size")).alias("taken"), copies.alias("copies")]
+    if not _splits(steps):
+        return found.select(*result(_copies()))
+    rows = _repeated(_numbered(found.where(_tied()), list(_KEPT)), "n")
+    ties = rows.select(*result(F.col("whole") + (F.col("at") < F.col("chosen")).cast("long")))
+    return found.where(~_tied()).select(*result(_copies())).unionByName(ties)
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col="doc_id", text="text", source="source") -> DataFrame:
     """The mix: every row of ``docs`` as often as it is taken, all its columns."""
     sized = written(_sized(docs, mix, id_col, text, source), "sized")
-    steps = plan(sized, mix).select(*[F.col(c).alias(f"__{c}") for c in ("key", "class", "whole", "pi", "last_rank")])
+    steps = plan(sized, mix)
+    splits = _splits(steps)
+    steps = steps.select("key", "class", "whole", "pi", "last_rank", "last_k", "last_n")
     id_, t, s = (F.col(f"`{c}`") for c in (id_col, text, source))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     facts = _facts(id_, t, s, mix)
-    own = docs.select(row.alias("__row"), *[facts[k].alias(f"__{k}") for k in ("key", "class", "u")])
-    met = own.join(steps, ["__key", "__class"]).select(
-        "__row", *[F.col(f"__{k}").alias(k) for k in ("u", "whole", "pi", "last_rank")]
-    )
-    repeated = met.select("__row", _copies().alias("n")).where("n > 0")
-    return repeated.select("__row", F.explode(F.expr("array_repeat(0, cast(n AS int))"))).select("__row.*")
+    own = docs.select(row.alias("row"), *[facts[k].alias(k) for k in ("key", "class", "u")])
+    met = own.join(steps, ["key", "class"])
+    repeated = met.where(~_tied()) if splits else met
+    repeated = repeated.select("row", _copies().alias("n")).where("n > 0")
+    rows = repeated.select("row", F.explode(F.expr("array_repeat(0, cast(n AS int))"))).select("row")
+    if splits:
+        ties = _numbered(met.where(_tied()), ["row"])
+        ties = _repeated(ties.withColumn("copies", F.col("n") * F.col("whole") + F.col("chosen")), "copies")
+        rows = rows.unionByName(ties.select("row"))
+    return rows.select("row.*")
