@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 #: Characters of a chunk's own part, and of the part that it shares with the next.
-CHUNK, OVERLAP = 16_384, 512
+CHUNK, OVERLAP = 2_048, 256
 
 
 @lru_cache(4)
