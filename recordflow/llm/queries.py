@@ -45,7 +45,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL_TEXT).alias("text"),
     )
-    return chat_format.digests(chat_format.formatted(turns.unionByName(added)))
+    return chat_format.digests(chat_format.formatted(turns.unionByName(added)), ordered=True)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

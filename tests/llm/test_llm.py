@@ -392,6 +392,25 @@ def test_mixing(docs, texts, odd, none):
     assert mixing.mixed_sizes(none).count() == 0 and mixing.mixed_documents(none).count() == 0
 
 
+@pytest.mark.parametrize("block", [4096, 7])
+def test_mixing_splits_ties(spark, monkeypatch, block):
+    """Equal rows without ids are taken by number, so that targets are met; other columns may tell them apart."""
+    monkeypatch.setattr(mixing, "BLOCK", block)
+    rows = [(None, "word " * 100, "a", i % 3) for i in range(400)] + [(i, "other words here " * (1 + i % 9), "b", 0) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, key int").repartition(4)
+    got = mixing.mixed_sizes(d).collect()
+    assert len(got) == len(rows) and Counter((r.doc_id, r["size"]) for r in got) == Counter((r[0], len(r[1].split())) for r in rows)
+    for r in {r.source_size: r for r in got}.values():
+        same = [x for x in got if x.source_size == r.source_size]
+        assert all(x.taken == x.copies * x["size"] <= 2 * x["size"] for x in same)
+        assert abs(sum(x.taken for x in same) - r.target) <= max(x["size"] for x in same) / 2 + 1
+    again = mixing.mixed_sizes(d.repartition(2)).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    mixed = mixing.mixed_documents(d)
+    assert mixed.columns == d.columns
+    assert Counter(r.doc_id for r in mixed.collect()) == Counter(r.doc_id for r in got for _ in range(r.copies))
+
+
 # --- 7 ---------------------------------------------------------------------------------------------------------
 
 
@@ -489,6 +508,35 @@ def test_chat(spark):
     assert chat_format.digests(chat_format.formatted(df.limit(0))).count() == 0
 
 
+def test_chat_examples(spark):
+    """Every assistant turn is an example with all turns before it, as an explicit expansion gives them; in any order of rows."""
+    r = random.Random(3)
+    convs = {i: [(r.choice(["user", "assistant", "system"]), r.choice(["<|im_end|>", "a\\n", "", "é🙂", LONG[:5000]]) + str(k)) for k in range(r.randrange(1, 9))] for i in range(30)}
+    df = spark.createDataFrame([(i, k, *x) for i, c in convs.items() for k, x in enumerate(c)], "conv_id long, turn long, role string, text string")
+    parts = chat_format.formatted(df)
+    want, digests = {}, {}
+    for i, c in convs.items():
+        whole, n, contexts, size = "", 0, hashlib.sha256(), 0
+        for k, (role, text) in enumerate(c):
+            part, s, _ = chat_format.formatted_turn(role, text)
+            if role == "assistant":
+                context = whole + part[:s]
+                want[i, n] = (k, len(context), sha(context), text)
+                contexts.update(hashlib.sha256(context.encode()).digest())
+                n, size = n + 1, size + len(context)
+            whole += part
+        digests[i] = (len(c), n, size, contexts.hexdigest(), len(whole))
+    for p, ordered in ((parts, True), (parts, False), (parts.repartition(4, "part_no"), False)):
+        got = {(x.conv_id, x.example): (x.context_turns, x.context_chars, x.context_sha256, x.target) for x in chat_format.expanded(p, ordered).collect()}
+        assert got == want
+        rows = chat_format.digests(p, ordered).collect()
+        assert {x.conv_id: (x.n_turns, x.n_examples, x.context_chars, x.contexts_sha256, x.formatted_chars) for x in rows} == digests
+    texts = {(x.conv_id, x.part_no): sha(x.context) for x in chat_format.materialised(parts).collect()}
+    assert texts == {(i, k): c for (i, _), (k, _, c, _) in want.items()}
+    with pytest.raises(Exception, match="in their order"):
+        chat_format.digests(parts.repartition(4, "part_no"), True).collect()
+
+
 # --- 10 --------------------------------------------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
