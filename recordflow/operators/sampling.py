@@ -34,6 +34,48 @@ def buckets(df: DataFrame, key: str, stratum: str, positive: Column, priority: C
     return taken.unionByName(blind.select(key).withColumn("bucket", F.lit("BLIND")))
 
 
+# What counts as positive, reviewable and negative, and the buckets in their order.
+POSITIVE, REVIEWABLE, NEGATIVE = ("STRONG_APPLY", "APPLY"), ("REVIEW",), ("LOW_PRIORITY", "SKIP")
+BUCKETS = ("ALL_POSITIVE", "REVIEW_MORE_STRATIFIED", "E01_REVIEW_FILL", "NEGATIVE_TARGETED", "NEGATIVE_BLIND_EXPLORATION", "NEGATIVE_BACKFILL")
+
+
+def shadow_sample(jobs: DataFrame, seed: str, reviews: int, negatives: int, targeted: float = 0.5) -> DataFrame:
+    """(job_id, bucket): all positives, reviews, and negatives, half of them targeted; what a bucket cannot fill goes on.
+
+    ``jobs`` has job_id, stratum (country and source, joined by a bar), recommendation, and the booleans review_more, good_detail and
+    is_targeted.  Every bucket takes turns through the strata of the rows that no bucket before it has; its size is at most
+    its target, so the rows that a bucket excludes are few.
+    """
+    left, out = jobs, jobs.where(F.col("recommendation").isin(*POSITIVE)).select("job_id", F.lit(BUCKETS[0]).alias("bucket"))
+    left = left.where(~F.coalesce(F.col("recommendation").isin(*POSITIVE), F.lit(False)))
+
+    def take(bucket: str, pool: Column, size: int) -> int:
+        nonlocal left, out
+        if size <= 0:
+            return 0
+        got = [r["job_id"] for r in round_robin(left.where(pool).select("job_id", "stratum"), "job_id", "stratum", size, seed, bucket).collect()]  # at most size
+        chosen = jobs.sparkSession.createDataFrame([(x,) for x in got], jobs.select("job_id").schema)
+        out = out.unionByName(chosen.withColumn("bucket", F.lit(bucket)))
+        left = left.join(F.broadcast(chosen), "job_id", "left_anti")
+        return len(got)
+
+    n = take(BUCKETS[1], F.col("review_more"), reviews)
+    take(BUCKETS[2], F.col("recommendation").isin(*REVIEWABLE), reviews - n)
+    negative = F.col("recommendation").isin(*NEGATIVE) & F.col("good_detail")
+    aim = round(negatives * targeted)  # half to even
+    n = take(BUCKETS[3], negative & F.col("is_targeted"), aim)
+    n += take(BUCKETS[4], negative, negatives - aim)
+    take(BUCKETS[5], negative, negatives - n)
+    return out
+
+
+def sample_summary(sample: DataFrame, jobs: DataFrame) -> DataFrame:
+    """(dimension, value, n): sampled rows by bucket and by recommendation."""
+    met = sample.join(jobs.select("job_id", "recommendation"), "job_id")
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in ("bucket", "recommendation")])
+    return met.select(F.explode(pairs).alias("x")).select("x.*").groupBy("dimension", "value").agg(F.count("*").alias("n"))
+
+
 def first_occurrence(df: DataFrame, key: str, order: str, *columns: str) -> DataFrame:
     """The first row of each key, by a partial aggregate."""
     first = F.min_by(F.struct(order, *columns), F.col(order))
