@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PLANS = ("scalars", "relational", "entity", "stateful", "evaluation", "ingest", "collecting", "evaluating", "ledgers", "merges", "reporting")
+PLANS = ("scalars", "relational", "entity", "stateful", "evaluation", "ingest", "collecting", "evaluating", "ledgers", "merges", "reporting", "requesting")
 
 
 def load() -> tuple[dict, dict]:

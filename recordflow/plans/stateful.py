@@ -133,3 +133,30 @@ def windowed_stream(spark, sf_dir):
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     out = _streamed(spark, state_stream.windowed_counts(stream), "complete")
     return out.withColumn("value", F.round("value", 4))
+
+
+_LOG = """l AS (SELECT 's' || (user_id % 9) AS shard_id, 'src' || (user_id % 40) AS source_id, event_id AS line_no, CASE event_type WHEN 'signup' THEN 'source_start' WHEN 'purchase' THEN 'source_done' WHEN 'error' THEN 'source_error' ELSE 'source_waiting' END AS event, event_id % 500 = 7 AS bad FROM events),
+  r AS (SELECT *, sum(d) OVER (PARTITION BY shard_id, source_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, CASE event WHEN 'source_start' THEN 1 WHEN 'source_done' THEN -1 ELSE 0 END AS d FROM l WHERE NOT bad)),
+  b AS (SELECT shard_id, source_id, greatest(0, -min(run))::BIGINT AS o, (sum(d) + greatest(0, -min(run)))::BIGINT AS i FROM r GROUP BY ALL)"""
+
+
+@query(
+    "runtime_anomalies",
+    f"""WITH {_LOG} SELECT 'ORPHAN_SOURCE_DONE' AS code, 'WARNING' AS severity, shard_id, source_id, o AS n FROM b WHERE o > 0 UNION ALL SELECT 'INCOMPLETE_SOURCE_LIFECYCLE', 'ERROR', shard_id, source_id, i FROM b WHERE i > 0
+    UNION ALL SELECT 'LIFECYCLE_SOURCE_ERROR', 'ERROR', shard_id, source_id, count(*) FROM l WHERE event = 'source_error' AND NOT bad GROUP BY ALL UNION ALL SELECT 'MALFORMED_LIFECYCLE_EVENT', 'WARNING', shard_id, '', count(*) FROM l WHERE bad GROUP BY ALL
+    UNION ALL SELECT 'SOURCE_ERROR', 'ERROR', shard_id, source_id, 1 FROM (SELECT DISTINCT shard_id, source_id FROM l WHERE source_id LIKE '%7')
+    UNION ALL SELECT 'MISSING_SHARD_ARTIFACT', 'ERROR', 's9', '', 1 UNION ALL SELECT 'UNEXPECTED_SHARD_ARTIFACT', 'WARNING', 's0', '', 1""",
+)
+def runtime_anomalies(spark, sf_dir):
+    """The events as the log of nine shards; one shard more is expected, and one is there that is not."""
+    from recordflow.operators import anomalies
+
+    u = F.col("user_id")
+    kind = F.when(F.col("event_type") == "signup", "source_start").when(F.col("event_type") == "purchase", "source_done").when(F.col("event_type") == "error", "source_error").otherwise("source_waiting")
+    shard, source = F.concat(F.lit("s"), (u % 9).cast("string")), F.concat(F.lit("src"), (u % 40).cast("string"))
+    e = table(spark, sf_dir, "events").select(shard.alias("shard_id"), source.alias("source_id"), F.col("event_id").alias("line_no"), kind.alias("event"))
+    line = F.when(F.col("line_no") % 500 == 7, "{bad").otherwise(F.to_json(F.struct("event", "source_id")))
+    shards = e.select("shard_id").distinct()
+    expected = shards.where("shard_id <> 's0'").unionByName(spark.createDataFrame([("s9",)], "shard_id string"))
+    results = e.select("shard_id", "source_id", F.when(F.endswith("source_id", F.lit("7")), "error").otherwise("OK").alias("status")).distinct()
+    return anomalies.found(e.select("shard_id", "line_no", line.alias("line")), expected, shards, results)

@@ -43,4 +43,4 @@ def test_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert QUERIES[name](spark, SF).columns
+    assert QUERIES[name](spark, SF).count()
