@@ -10,21 +10,20 @@ from .adapters import table
 from .registry import query
 from .scalars import WS
 
-_ID = F.col("doc_id")
 
 
 def records(spark, sf_dir, second: bool):
     """One generation; the second has other ids, values and statuses for some residues of the id."""
-    i, s = _ID.cast("string"), F.lit(second)
-    when = lambda n, a, b: F.when(s & (_ID % n == 0), a).otherwise(b)
+    i, s = F.col("doc_id").cast("string"), F.lit(second)
+    when = lambda n, a, b: F.when(s & (F.col("doc_id") % n == 0), a).otherwise(b)
     canonical = when(7, F.concat(F.lit("K"), i), F.concat(F.lit("C"), i))
     job = when(11, F.concat(F.lit("X"), i), i)
-    url = F.when(_ID % 2 == 0, F.concat(F.lit("ex.org/job/"), i))
+    url = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("ex.org/job/"), i))
     title = F.regexp_extract("text", r"^([^.\n]*)", 1)
-    status = (F.when(_ID % 10 == 0, "closed").otherwise("open")) if second else (F.when(_ID % 6 == 0, "CLOSED").when(_ID % 6 == 5, "odd").otherwise("OPEN"))
-    lost = _ID % (9 if second else 8) == 0
-    bits = F.when(_ID % 15 == 0, 0xFFFFF).when(_ID % 15 == 1, 0x3FF).otherwise(0) if second else F.lit(0)
-    simhash = F.lpad(F.lower(F.hex((_ID * 1000003).bitwiseXOR(bits.cast("long")))), 16, "0")
+    status = (F.when(F.col("doc_id") % 10 == 0, "closed").otherwise("open")) if second else (F.when(F.col("doc_id") % 6 == 0, "CLOSED").when(F.col("doc_id") % 6 == 5, "odd").otherwise("OPEN"))
+    lost = F.col("doc_id") % (9 if second else 8) == 0
+    bits = F.when(F.col("doc_id") % 15 == 0, 0xFFFFF).when(F.col("doc_id") % 15 == 1, 0x3FF).otherwise(0) if second else F.lit(0)
+    simhash = F.lpad(F.lower(F.hex((F.col("doc_id") * 1000003).bitwiseXOR(bits.cast("long")))), 16, "0")
     of = {
         "title": when(5, F.concat(title, F.lit(" II")), title),
         "institution": when(19, F.lit(""), F.col("source")),
@@ -43,8 +42,8 @@ def records(spark, sf_dir, second: bool):
         "detail_words": F.when(lost, 0).otherwise(F.col("n_chars")),
         "recommendation": when(20, F.lit("skip"), F.lit("apply")),
     }
-    rows = table(spark, sf_dir, "documents").where((_ID % 17 != 0) if second else (_ID % 13 != 0))
-    named = collection.aliases(canonical, F.col("source"), job, [url], F.when(_ID % 3 == 0, F.concat(F.lit("R"), i)))
+    rows = table(spark, sf_dir, "documents").where((F.col("doc_id") % 17 != 0) if second else (F.col("doc_id") % 13 != 0))
+    named = collection.aliases(canonical, F.col("source"), job, [url], F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("R"), i)))
     return rows.select(F.concat(F.lit("r"), i).alias("record_id"), named.alias("aliases"), ledger.snapshot(of).alias("snapshot"))
 
 
@@ -131,10 +130,10 @@ def ledger_summary(spark, sf_dir):
 )
 def state_id_allocation(spark, sf_dir):
     """Ids of new entries beside those that are taken: the bare one, the bare one and the first number, or the bare one and the second."""
-    i = _ID.cast("string")
+    i = F.col("doc_id").cast("string")
     fresh = table(spark, sf_dir, "documents").select("doc_id", F.array(F.struct(F.lit(0).alias("rank"), F.concat(F.lit("canonical:c"), i).alias("alias"))).alias("aliases"))
     base = F.concat(F.lit("job_"), F.substring(F.sha1(F.concat(F.lit("canonical:c"), i)), 1, 20))
-    taken = F.when(_ID % 4 == 0, F.array(base)).when(_ID % 4 == 1, F.array(base, F.concat(base, F.lit("_1")))).when(_ID % 4 == 2, F.array(base, F.concat(base, F.lit("_2")))).otherwise(F.array().cast("array<string>"))
+    taken = F.when(F.col("doc_id") % 4 == 0, F.array(base)).when(F.col("doc_id") % 4 == 1, F.array(base, F.concat(base, F.lit("_1")))).when(F.col("doc_id") % 4 == 2, F.array(base, F.concat(base, F.lit("_2")))).otherwise(F.array().cast("array<string>"))
     there = table(spark, sf_dir, "documents").select(F.explode(taken).alias("state_id"))
     return ledger.allocated(there, fresh).select("doc_id", "state_id")
 

@@ -10,21 +10,20 @@ from .adapters import table
 from .registry import query
 from .scalars import ALNUM
 
-_ID = F.col("doc_id")
 _CODES = ["ROLE_STUDENT", "FULL_JD_UNAVAILABLE", "DETAIL_PARTIAL", "VISA_AMBIGUOUS"]
 
 
 def _pick(values, n):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (_ID % n % len(values) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("doc_id") % n % len(values) + 1).cast("int"))
 
 
 def observations(spark, sf_dir):
-    i, lit = _ID.cast("string"), F.lit
+    i, lit = F.col("doc_id").cast("string"), F.lit
     none = F.array().cast("array<string>")
-    when = lambda n, r, a, b: F.when(_ID % n == r, a).otherwise(b)
+    when = lambda n, r, a, b: F.when(F.col("doc_id") % n == r, a).otherwise(b)
     d = table(spark, sf_dir, "documents")
     return d.select(
-        _ID.alias("obs_ord"),
+        F.col("doc_id").alias("obs_ord"),
         F.concat(lit("r"), i).alias("source_record_id"),
         F.struct(F.col("source").alias("source_key"), _pick([*merging.SOURCE_KINDS, "OTHER"], 7).alias("source_kind"), when(9, 0, lit(""), i).alias("source_job_id"), when(4, 0, "CLOSED", "OPEN").alias("source_status")).alias("source"),
         F.struct(F.concat(lit("Title "), i).alias("title_raw"), when(3, 0, lit("Institute A"), when(3, 1, lit("UNKNOWN"), lit(None))).alias("institution_raw"), when(2, 0, lit("Dept"), lit("")).alias("department"), when(5, 0, "LECTURER", "UNKNOWN").alias("role_family")).alias("position"),
@@ -32,7 +31,7 @@ def observations(spark, sf_dir):
         F.struct(when(6, 1, lit("2026-05-01"), when(6, 2, lit("2026-03-01"), lit(""))).alias("deadline_at"), lit("UNKNOWN").alias("deadline_status")).alias("dates"),
         F.struct(when(5, 1, lit(12.0), lit(None)).alias("duration_months"), when(5, 2, "FIXED_TERM", "UNKNOWN").alias("term_type")).alias("contract"),
         F.struct(when(4, 2, "FETCH_FAILED", "FULL").alias("detail_status"), when(8, 3, F.concat("text", lit(" more")), F.col("text")).alias("full_jd")).alias("description"),
-        F.struct(when(7, 3, lit("PhD"), lit(None)).alias("degree_text"), when(2, 0, F.array(lit("m1"), F.concat(lit("m"), (_ID % 5).cast("string"))), none).alias("methods_required")).alias("requirements"),
+        F.struct(when(7, 3, lit("PhD"), lit(None)).alias("degree_text"), when(2, 0, F.array(lit("m1"), F.concat(lit("m"), (F.col("doc_id") % 5).cast("string"))), none).alias("methods_required")).alias("requirements"),
         F.struct(when(11, 0, F.array(lit(_CODES[0])), none).alias("blocker_codes"), when(2, 1, F.array(_pick(_CODES[1:], 3), lit(_CODES[1])), none).alias("review_codes"), when(3, 2, "CORE", "UNKNOWN").alias("market_tier")).alias("classification"),
         F.struct(when(10, 4, F.array(lit("relay"), F.col("source")), none).alias("observed_by_sources"), when(4, 3, F.array(lit("note")), none).alias("notes")).alias("provenance"),
     )
@@ -40,7 +39,7 @@ def observations(spark, sf_dir):
 
 def merged(spark, sf_dir):
     obs = observations(spark, sf_dir)
-    body = table(spark, sf_dir, "documents").select(_ID.alias("obs_ord"), F.sha2("text", 256).alias("h"))
+    body = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("obs_ord"), F.sha2("text", 256).alias("h"))
     first = body.groupBy("h").agg(F.min("obs_ord").alias("cluster"))
     return merging.merged(obs, body.join(first, "h").select("obs_ord", "cluster"))
 

@@ -9,11 +9,10 @@ from recordflow.operators import reporting, sampling
 from .adapters import table
 from .registry import query
 
-_ID = F.col("doc_id")
 
 
 def _pick(values, by=1):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(_ID / by) % len(values) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(F.col("doc_id") / by) % len(values) + 1).cast("int"))
 
 
 def _pick_sql(values, by=1):
@@ -55,7 +54,7 @@ def records(spark, sf_dir):
         for struct, field, values, by in parts:
             structs.setdefault(struct, {})[field] = _pick(values, by)
     for name, (struct, n) in LISTS.items():
-        structs[struct][name] = F.when(_ID % n == 0, F.array(F.lit("A"), F.lit(" "), F.lit("B_C"))).when(_ID % n == 1, F.array().cast("array<string>"))
+        structs[struct][name] = F.when(F.col("doc_id") % n == 0, F.array(F.lit("A"), F.lit(" "), F.lit("B_C"))).when(F.col("doc_id") % n == 1, F.array().cast("array<string>"))
     structs["evaluation"]["dimensions"] = F.struct(*[_pick([d.upper(), ""], i + 1).alias(d) for i, d in enumerate(DIMS)])
     flat = structs.pop("")
     whole = [F.struct(*[v.alias(k) for k, v in fields.items()]).alias(s) for s, fields in structs.items()]
@@ -147,11 +146,11 @@ _RANK = "CASE {} WHEN 'SKIP' THEN 0 WHEN 'LOW_PRIORITY' THEN 1 WHEN 'REVIEW' THE
 )
 def led_sections(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    jobs = d.select(_ID.alias("job_id"), F.col("lang").alias("country"), F.substring("source", 1, 3).alias("title"), _pick(_RULE).alias("rule"))
-    n, llm = _ID % 7, _pick(_LLM, 2)
+    jobs = d.select(F.col("doc_id").alias("job_id"), F.col("lang").alias("country"), F.substring("source", 1, 3).alias("title"), _pick(_RULE).alias("rule"))
+    n, llm = F.col("doc_id") % 7, _pick(_LLM, 2)
     told = F.array_compact(F.array(F.when(n < 3, "MAIN"), F.when(n.between(2, 4), "LLM_RESCUE")))
-    evaluations = d.select(_ID.alias("job_id"), llm.alias("llm"), F.explode(told).alias("origin"))
-    return reporting.led_sections(jobs, d.where(_ID % 3 == 0).select(_ID.alias("job_id")), evaluations)
+    evaluations = d.select(F.col("doc_id").alias("job_id"), llm.alias("llm"), F.explode(told).alias("origin"))
+    return reporting.led_sections(jobs, d.where(F.col("doc_id") % 3 == 0).select(F.col("doc_id").alias("job_id")), evaluations)
 
 
 _JOBS = f"""j AS (SELECT doc_id AS job_id, lang || '|' || source AS stratum, {_pick_sql(['STRONG_APPLY', 'REVIEW', 'LOW_PRIORITY', 'SKIP', 'REVIEW', 'SKIP', 'APPLY', 'LOW_PRIORITY', 'SKIP', 'SKIP', 'SKIP', 'REVIEW', 'REVIEW'])} AS recommendation,
@@ -175,8 +174,8 @@ SAMPLE = f"""{_JOBS}, pos AS (SELECT job_id, 'ALL_POSITIVE' AS bucket FROM j WHE
 def _sampled(spark, sf_dir):
     recs = ["STRONG_APPLY", "REVIEW", "LOW_PRIORITY", "SKIP", "REVIEW", "SKIP", "APPLY", "LOW_PRIORITY", "SKIP", "SKIP", "SKIP", "REVIEW", "REVIEW"]
     jobs = table(spark, sf_dir, "documents").select(
-        _ID.alias("job_id"), F.concat_ws("|", "lang", "source").alias("stratum"), _pick(recs).alias("recommendation"),
-        (_ID % 40 == 2).alias("review_more"), (_ID % 3 > 0).alias("good_detail"), (_ID % 50 == 5).alias("is_targeted"),
+        F.col("doc_id").alias("job_id"), F.concat_ws("|", "lang", "source").alias("stratum"), _pick(recs).alias("recommendation"),
+        (F.col("doc_id") % 40 == 2).alias("review_more"), (F.col("doc_id") % 3 > 0).alias("good_detail"), (F.col("doc_id") % 50 == 5).alias("is_targeted"),
     )
     return sampling.shadow_sample(jobs, "seed", 30, 45), jobs
 
@@ -199,10 +198,10 @@ def sample_summary(spark, sf_dir):
       list_sort(list(DISTINCT kind)) AS kinds, (SELECT list_sort(list(DISTINCT c)) FROM (SELECT unnest(countries) AS c FROM e)) AS configured_country_codes FROM e""",
 )
 def board_inventory(spark, sf_dir):
-    n = _ID % 4
+    n = F.col("doc_id") % 4
     e = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("s"), (_ID % 14).cast("string")).alias("shard_id"), F.col("source").alias("source_id"), F.concat("lang", "source").alias("report_key"), F.col("lang").alias("family"),
-        F.when(_ID % 3 == 0, "ATS").when(_ID % 3 == 1, "PORTAL").otherwise("SEARCH").alias("kind"), F.array(F.upper("lang"), F.when(_ID % 2 == 0, "NL").otherwise("IE")).alias("countries"),
+        F.concat(F.lit("s"), (F.col("doc_id") % 14).cast("string")).alias("shard_id"), F.col("source").alias("source_id"), F.concat("lang", "source").alias("report_key"), F.col("lang").alias("family"),
+        F.when(F.col("doc_id") % 3 == 0, "ATS").when(F.col("doc_id") % 3 == 1, "PORTAL").otherwise("SEARCH").alias("kind"), F.array(F.upper("lang"), F.when(F.col("doc_id") % 2 == 0, "NL").otherwise("IE")).alias("countries"),
         F.when(n == 0, F.concat(F.lit("Uni "), "source")).when(n == 1, "").alias("institution"),
     )
     return reporting.inventory(e)
@@ -229,7 +228,7 @@ _RESULTS = """r AS (SELECT lang AS shard, source, count(*) FILTER (doc_id % 3 >
 
 def _results(spark, sf_dir):
     d = table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("shard"), "source").agg(
-        F.count_if(_ID % 3 > 0).alias("records"), F.count_if(_ID % 31 == 7).alias("failed_details"), (F.min("doc_id") % 2 == 0).alias("cut")
+        F.count_if(F.col("doc_id") % 3 > 0).alias("records"), F.count_if(F.col("doc_id") % 31 == 7).alias("failed_details"), (F.min("doc_id") % 2 == 0).alias("cut")
     )
     none = F.array().cast("array<string>")
     incomplete = F.when(F.col("cut"), F.array(F.concat("source", F.lit(": empty_page")))).otherwise(none)
@@ -261,7 +260,7 @@ def blob_ids(spark, sf_dir):
 def freeze_check(spark, sf_dir):
     """A manifest of blob ids held against the files: changed ones, and those that are gone."""
     now = blob_ids(spark, sf_dir)
-    manifest = now.withColumn("frozen", F.when(_ID % 20 == 0, "0").otherwise(F.col("blob"))).drop("blob")
-    there = now.where((_ID % 33 != 1) | (_ID % 20 == 0))
+    manifest = now.withColumn("frozen", F.when(F.col("doc_id") % 20 == 0, "0").otherwise(F.col("blob"))).drop("blob")
+    there = now.where((F.col("doc_id") % 33 != 1) | (F.col("doc_id") % 20 == 0))
     problem = F.when(F.col("blob").isNull(), "MISSING").when(F.col("blob") != F.col("frozen"), "CHANGED")
     return manifest.join(there, "doc_id", "left").select("doc_id", problem.alias("problem")).where("problem IS NOT NULL")

@@ -10,21 +10,20 @@ from .adapters import table
 from .registry import query
 from .reporting import _pick, _pick_sql
 
-_ID = F.col("doc_id")
 _CITY, _REGION, _NAME = ["Köln", "", None], ["", "R\"1"], ["Spain", None, ""]
 _TERM, _LEVEL, _STATUS, _URL = ["FIXED", None, ""], ["SENIOR", None], ["full", "odd", "PARTIAL", None], [None, "http://a", ""]
 
 
 def jobs(spark, sf_dir):
-    i = _ID.cast("string")
+    i = F.col("doc_id").cast("string")
     return table(spark, sf_dir, "documents").select(
-        F.when(_ID % 3 > 0, F.concat(F.lit("c"), i)).alias("canonical_id"), F.concat(F.lit("r"), i).alias("source_record_id"),
+        F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("c"), i)).alias("canonical_id"), F.concat(F.lit("r"), i).alias("source_record_id"),
         F.struct(F.concat(F.lit(" T  "), "source").alias("title_raw"), F.lit("").alias("title_normalized"), _pick(["I\tJ", None]).alias("institution_raw"), F.lit("N").alias("institution_normalized"), F.lit(None).cast("string").alias("department"), F.lit("X").alias("role_family"), _pick(_LEVEL).alias("role_level"), F.lit("E").alias("employment_type")).alias("position"),
         F.struct(_pick(_CITY).alias("city"), _pick(_REGION, 3).alias("region"), _pick(_NAME, 2).alias("country_name"), F.upper("lang").alias("country_code")).alias("location"),
         F.struct(_pick(_TERM).alias("term_type")).alias("contract"), F.struct(_pick(_STATUS).alias("detail_status")).alias("description"),
         F.struct(_pick(_URL).alias("detail_url"), _pick(_URL, 2).alias("listing_url"), F.lit("http://z").alias("apply_url")).alias("source"),
-        F.regexp_replace("text", "[^ -~]", "").alias("full_text"), F.when(_ID % 4 == 0, "do").alias("responsibilities"),
-        F.when(_ID % 50 == 1, 'see "dimensions"').when(_ID % 5 == 0, "must").alias("essential"), F.lit(None).cast("string").alias("desirable"),
+        F.regexp_replace("text", "[^ -~]", "").alias("full_text"), F.when(F.col("doc_id") % 4 == 0, "do").alias("responsibilities"),
+        F.when(F.col("doc_id") % 50 == 1, 'see "dimensions"').when(F.col("doc_id") % 5 == 0, "must").alias("essential"), F.lit(None).cast("string").alias("desirable"),
     )
 
 
@@ -57,7 +56,7 @@ def triage_inputs(spark, sf_dir):
 
 @query("human_labels", "SELECT doc_id AS job_id, CASE WHEN doc_id % 3 = 0 THEN 'BOTH_WRONG' WHEN doc_id % 3 = 1 THEN 'LLM_CORRECT' END AS human_label, CASE WHEN doc_id % 3 = 0 THEN 'n' END AS human_notes FROM documents")
 def human_labels(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(_ID.alias("job_id"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_id"))
     n = F.col("job_id") % 3
     labels = d.where(n < 2).select("job_id", F.when(n == 0, " both_wrong").otherwise("LLM_correct").alias("label"), F.when(n == 0, "n").alias("notes"))
     return requests.labelled(d, labels)
@@ -65,7 +64,7 @@ def human_labels(spark, sf_dir):
 
 @query("evaluation_outcomes", "SELECT doc_id AS job_id, CASE doc_id % 4 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'MISSING' ELSE 'EVALUATED' END AS outcome, CASE doc_id % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN NULL WHEN 2 THEN 'APPLY' ELSE 'SKIP' END AS detail FROM documents")
 def evaluation_outcomes(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(_ID.alias("job_id"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_id"))
     n = F.col("job_id") % 4
     results = d.where(n != 1).select("job_id", F.when(n == 2, "APPLY").when(n == 3, "SKIP").alias("decision"), F.when(n == 0, "timeout").otherwise("").alias("error"))
     return requests.outcomes(d, results)
