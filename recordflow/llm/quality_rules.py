@@ -177,7 +177,9 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id
 
 
 def cleaned_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
-    """The kept documents with failing lines removed; all columns stay, ``text`` is replaced."""
+    """The kept documents with failing lines removed; all columns stay, whatever their names, and ``text`` is replaced."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    held = docs.select(row.alias("row"), F.col(f"`{text}`").alias("text"))
     # a filter may not pass a projection with a row number: pushed below, it would make every array anew in every lambda
-    q = _judged(docs, text, rules).withColumn("__row", F.monotonically_increasing_id()).where("__q.kept AND __row >= 0")
-    return q.select(*[F.col("__q.clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    q = _judged(held, "text", rules).withColumn("__row", F.monotonically_increasing_id()).where("__q.kept AND __row >= 0")
+    return q.select(F.col("row").withField(f"`{text}`", F.col("__q.clean_text")).alias("row")).select("row.*")

@@ -92,6 +92,14 @@ def test_quality_rules(docs, texts, odd, none):
 # --- 2 ---------------------------------------------------------------------------------------------------------
 
 
+def test_cleaned_documents_keep_columns_of_any_name(spark):
+    prose = "\n".join(" ".join(f"word{i * k}" for k in range(3, 12)) + "." for i in range(1, 15))
+    rows = [(1, prose + "\nHome | Menu | Login", "a", 2, "c"), (2, "short", "b", 3, "d"), (None, None, None, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, __t string, __h int, row string")
+    kept = quality_rules.cleaned_documents(d)
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [(1, prose, "a", 2, "c")]
+
+
 def plain_print(t):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     if not w:
