@@ -39,3 +39,12 @@ def freed(spark: SparkSession) -> None:
     """Has the files of shuffles deleted that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+#: Bytes of an Arrow batch, the bound that the text operators set too.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that hold whole texts by their bytes, whatever the number of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

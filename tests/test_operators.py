@@ -132,6 +132,55 @@ def test_title_ratio_keeps_its_order(spark):
     assert got == [SequenceMatcher(None, a, b).ratio(), SequenceMatcher(None, b, a).ratio()]
 
 
+def _crowd(spark):
+    """Observations of few titles, references and URLs, with copies and near copies in two countries and four sources."""
+    rng = random.Random(5)
+    bodies = [[f"w{rng.randrange(400)}" for _ in range(40)] for _ in range(4)]
+    rows = []
+    for i in range(160):
+        body = list(rng.choice(bodies))
+        for _ in range(rng.choice((0, 0, 1, 2, 3))):
+            body[rng.randrange(40)] = f"x{rng.randrange(50)}"
+        title = rng.choice(("Post in chemistry and physics at a large school, ref. no-7781", "Post in chemistry and physics at a large schools, ref. no-7781", "Other"))
+        url = f"https://a.org/{rng.randrange(5)}" if rng.random() < 0.1 else None
+        rows.append((i, rng.choice("abcd"), i // 2 if i % 9 == 0 else i, title, rng.choice(("GB", "DE", None)), " ".join(body), url, rng.choice(("North", "North East", "")), rng.choice(("FULL", "UNAVAILABLE", "PARTIAL"))))
+    return spark.createDataFrame(rows, "obs_ord long, source_key string, source_job_id long, title string, country string, body string, url string, institution string, detail_status string")
+
+
+def test_classes_give_the_clusters_of_pairs(spark):
+    use_checkpoints(spark)
+    f = linkage.features(_crowd(spark))
+    pairs = linkage.edges(f).collect()
+    assert {r.rule for r in pairs} == {"URL", "REF", "TITLE", "RATIO"} and len(pairs) == len({(r.a, r.b) for r in pairs})
+    want: dict[int, int] = {}
+    for n in range(160):
+        want[n] = min((want[r.a] for r in pairs if r.b == n), default=n)
+    members, links = linkage.class_links(f)
+    got = {r.obs_ord: r.cluster for r in linkage.clusters(f, links, members).collect()}
+    assert got == want
+
+
+def test_one_reference_is_few_class_links(spark):
+    """300 observations of one reference and URL are some pairs of classes, not of observations."""
+    use_checkpoints(spark)
+    rows = [(i, "abc"[i % 3], i, "Post, ref. no-7781", "GB", "", "https://a.org/1", "North", "UNAVAILABLE") for i in range(300)]
+    f = linkage.features(spark.createDataFrame(rows, _crowd(spark).schema))
+    members, links = linkage.class_links(f)
+    assert links.count() <= 18
+    got = linkage.clusters(f, links, members).collect()
+    assert len(got) == 300 and {r.cluster for r in got} == {0}
+
+
+def test_url_links_are_the_pairs_of_one_rule(spark):
+    """No text is read for them: shingles that fail when made are never made."""
+    use_checkpoints(spark)
+    f = linkage.features(_crowd(spark))
+    want = {(r.a, r.b) for r in linkage.edges(f).where("rule = 'URL'").collect()}
+    broken = f.withColumn("grams", F.array(F.raise_error(F.lit("made")).cast("long")))
+    got = [(r.a, r.b) for r in linkage.url_links(broken).collect()]
+    assert set(got) == want and len(got) == len(want) > 0
+
+
 def test_linkage_rules(spark):
     use_checkpoints(spark)
     body = " ".join(f"w{i}" for i in range(40))
