@@ -45,8 +45,9 @@ ORDER = 6
 EDGE, STOP = b"\xff" * (ORDER - 1), b"\xfe"
 #: What may follow a context: all bytes but that of the edge.
 SYMBOLS = 255
-#: Bytes of text whose strings are made together; bytes of a chunk's texts; distinct strings a task holds before it sends them.
-PIECE, CHUNK, HELD = 2 << 20, 16 << 20, 4 << 20
+#: Bytes of text whose strings are made together; bytes of a chunk's texts; distinct strings a task holds before it sends them;
+#: bytes of text that are looked up at once, as each look-up makes a table of a chunk's distinct strings.
+PIECE, CHUNK, HELD, LOOK = 2 << 20, 16 << 20, 4 << 20, 8 << 20
 #: Bytes of trusted text to a shard of the model, and shards at least and at most.
 SHARD_TEXT, SHARDS = 8 << 20, (64, 16_384)
 
@@ -107,9 +108,10 @@ def _pieces(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield held
 
 
-def _counted(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counted(k: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different strings in the order of shards, and their counts."""
     found = pc.value_counts(pa.array(k))
-    keys, n = found.field(0).to_numpy(), found.field(1).to_numpy()
+    keys, n = _dealt(found.field(0).to_numpy(), shards), found.field(1).to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order]
 
@@ -189,7 +191,7 @@ def _count(shards: int):
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(0).to_pylist()]
             for fold in (0, 1):
                 for piece in _pieces([t for t, f in zip(texts, folds) if f == fold and t]):
-                    held[fold].append(_counted(_dealt(grams(piece)[0], shards)))
+                    held[fold].append(_counted(grams(piece)[0], shards))
                     if sum(len(k) for k, _ in held[fold]) >= HELD:
                         held[fold] = [_summed(held[fold])]
                         if len(held[fold][0][0]) >= HELD // 2:
@@ -379,7 +381,7 @@ def _requests(shards: int):
     """Bundles sorted by chunk to packets: the distinct strings of a chunk, by shard."""
 
     def sent(chunk, held):
-        keys = np.unique(np.concatenate(held))
+        keys = np.sort(_dealt(pc.unique(pa.chunked_array(held)).to_numpy(), shards))
         out = [(s, 2, chunk, _pack_keys(keys[x] & _BARE), None) for s, x in _by_shard(keys)]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), _ASKED_KINDS)], _ASKED)
 
@@ -393,9 +395,9 @@ def _requests(shards: int):
                     at, held, seen = chunk, [], set()
                 ids, texts = _opened(blob)
                 for piece in _pieces([t for i, t in zip(ids.tolist(), texts) if i not in seen]):
-                    held.append(pc.unique(pa.array(_dealt(grams(piece)[0], shards))).to_numpy())
-                    if sum(map(len, held)) >= HELD:
-                        held = [np.unique(np.concatenate(held))]
+                    held.append(pc.unique(pa.array(grams(piece)[0])))
+                    if sum(map(len, held[1:])) >= HELD:
+                        held = [pc.unique(pa.chunked_array(held))]
                 seen.update(ids.tolist())
         if held:
             yield sent(at, held)
@@ -437,17 +439,31 @@ def _sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """The texts of a chunk and the answers to its strings: (text, logp) of each different text."""
     keys = np.concatenate([_unpack_keys(x) for x in answers.column("keys").to_pylist()])
     logp = np.concatenate([_unpack(x, np.float32) for x in answers.column("logp").to_pylist()]).astype(np.float64)
-    known, seen = pa.array(keys), {}
-    for blob in texts.column("blob").to_pylist():
-        ids, each = _opened(blob)
-        new = {i: t for i, t in zip(ids.tolist(), each) if i not in seen}
-        at = iter(new)
-        for piece in _pieces(list(new.values())):
-            k, sizes = grams(piece)
-            p = logp[pc.index_in(pa.array(k), known).to_numpy()]
-            starts = np.cumsum(sizes) - sizes
-            for x in np.add.reduceat(p, starts).tolist():
+    known, seen, held, size = pa.array(keys), {}, {}, 0
+
+    def solved():
+        at = iter(held)
+        k, sizes = zip(*map(grams, _pieces(list(held.values()))))
+        # the result comes in chunks of its own
+        found = pc.index_in(pa.chunked_array([pa.array(x) for x in k]), known).to_numpy()
+        ends = np.cumsum([len(x) for x in k])
+        for i, n in zip(np.split(found, ends[:-1]), sizes):
+            for x in np.add.reduceat(logp[i], np.cumsum(n) - n).tolist():
                 seen[next(at)] = x
+        if next(at, None) is not None:
+            raise ValueError("a text was not scored")
+
+    # a bundle is small: many of them are looked up at once
+    for blob in texts.column("blob").to_pylist():
+        for i, t in zip(*(x if isinstance(x, list) else x.tolist() for x in _opened(blob))):
+            if i not in seen and i not in held:
+                held[i] = t
+                size += len(t)
+        if size >= LOOK:
+            solved()
+            held, size = {}, 0
+    if held:
+        solved()
     return pa.table({"text": pa.array(list(seen), pa.int64()), "logp": pa.array(list(seen.values()), pa.float64())})
 
 

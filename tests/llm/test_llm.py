@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -335,6 +336,26 @@ def test_sharded_scores_are_those_of_the_counts(spark, monkeypatch, small):
             assert abs(got[i] - want) / (len(x) - 5) < 1e-6, i
 
 
+def test_small_bundles_are_looked_up_together(monkeypatch):
+    """A chunk comes in a bundle a task; its strings are not indexed anew for each of them."""
+    texts = [f"text {i % 30} of some words" for i in range(40)]
+    strings = np.unique(perplexity.grams([t.encode() for t in texts])[0])
+    value = {int(k): -float(k % 97) for k in strings}
+    answers = pa.table({"keys": [perplexity._pack_keys(strings)], "logp": [perplexity._pack(np.array(list(value.values()), np.float32))]})
+    send = perplexity._bundled(1)
+    one = lambda t: pa.RecordBatch.from_arrays([pa.array([t]), pa.array([hash(t) >> 8])], ["text", "hash"])
+    bundles = pa.Table.from_batches([b for t in texts for b in send([one(t)])])
+    calls, index_in = [], perplexity.pc.index_in
+    monkeypatch.setattr(perplexity.pc, "index_in", lambda *x: calls.append(1) or index_in(*x))
+    got = {r["text"]: r["logp"] for r in perplexity._sums(bundles, answers).to_pylist()}
+    assert got == {hash(t) >> 8: sum(value[k] for k in perplexity.grams([t.encode()])[0].tolist()) for t in texts}
+    assert len(bundles) == 40 and len(calls) == 1
+    for name, x in (("PIECE", 60), ("LOOK", 300)):  # many pieces of a look-up, then many look-ups
+        monkeypatch.setattr(perplexity, name, x)
+        assert {r["text"]: r["logp"] for r in perplexity._sums(bundles, answers).to_pylist()} == got
+    assert len(calls) > 3
+
+
 def test_kept_documents_keep_columns_of_any_name(spark):
     d = spark.createDataFrame([(1, "some text", "en", 0, 1, 2, "x")], "doc_id long, text string, lang string, n int, kept int, __low int, row string")
     kept = perplexity.kept_documents(d, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))
