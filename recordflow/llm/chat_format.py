@@ -206,3 +206,132 @@ def digests(parts: DataFrame, ordered: bool = False) -> DataFrame:
     """One row a conversation, read back from its transcript rows and the examples in them; ``ordered`` as of ``expanded``."""
     kind = parts.schema["conv_id"].dataType.simpleString()
     return (parts if ordered else _in_order(parts)).mapInArrow(_digested, _DIGESTS.format(kind=kind))
+
+
+#: Characters of a transcript up to which an example has its whole context; and of a row that continues the one before.
+WHOLE = 1 << 16
+_EXAMPLE_ROWS = "conv_id {kind}, row_no long, base long, prefix string, target string"
+
+
+def _spelled(batches):
+    """Sorted transcript rows to rows of ``examples``."""
+    names = [x.split()[0] for x in _EXAMPLE_ROWS.split(", ")]
+    kind, key, state = None, object(), None  # parts, rows, whole transcript or None, what follows the last row
+
+    def batch(rows):
+        cols = list(zip(*rows)) if rows else [[]] * 5
+        kinds = (kind, pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+    def row(prefix, target, whole=False):
+        n = state[1]
+        state[1] += 1
+        return key, n, n - 1 if n and not whole else None, prefix, target
+
+    for b in batches:
+        kind, out, size = b.schema.field(0).type, [], 0
+        for i, n, part, at, s, e in zip(*(b.column(c).to_pylist() for c in range(6))):
+            if state is None or i != key:
+                if state is not None:
+                    out.append(row(state[3], None))
+                key, state = i, [0, 0, "", ""]
+            if n != state[0]:
+                raise ValueError("the parts of a conversation must come together, in their order")
+            state[0] += 1
+            if s is not None:
+                head, target = part[: s - at], part[s - at : e - at]
+                whole = state[2] is not None
+                out.append(row((state[2] if whole else state[3]) + head, target, whole))
+                size += len(out[-1][3]) + len(target)
+                state[3] = part[e - at :]
+            else:
+                state[3] += part
+                if len(state[3]) > WHOLE:
+                    out.append(row(state[3], None))
+                    state[3] = ""
+            state[2] = state[2] + part if state[2] is not None and at + len(part) <= WHOLE else None
+            if size > 16 * WHOLE:
+                yield batch(out)
+                out, size = [], 0
+        yield batch(out)
+    if state is not None:
+        yield batch([row(state[3], None)])
+
+
+def examples(parts: DataFrame, ordered: bool = False) -> DataFrame:
+    """Prefix-target expansion, spelled out: a row an assistant turn with its ``prefix`` and its ``target`` (escaped).
+
+    A row without ``base`` has its whole context as prefix.  Where a transcript is longer than WHOLE, so that contexts would grow with the
+    square of the turns, the context of a row is that of row ``base``, that row's target and the prefix.  Rows without target
+    carry what no example ends with.
+    """
+    kind = parts.schema["conv_id"].dataType.simpleString()
+    return (parts if ordered else _in_order(parts)).mapInArrow(_spelled, _EXAMPLE_ROWS.format(kind=kind))
+
+
+_WRITTEN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL)
+
+
+def _read_examples(batches):
+    """Sorted rows of ``examples`` to the columns of ``digests``, from their prefixes and targets alone."""
+    names = [x.split()[0] for x in _DIGESTS.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    types = [kinds[x.split()[1]] for x in _DIGESTS.split(", ")[1:]]
+    kind, key, x = None, object(), None
+
+    def start():
+        return {"rows": 0, "n": 0, "turns": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "size": 0, "examples": 0,
+                "context": 0, "contexts": hashlib.sha256(), "run": hashlib.sha256(), "open": ""}
+
+    def fed(text):
+        x["run"].update(text.encode("utf-8", "surrogatepass"))
+        x["size"] += len(text)
+        x["open"] += text
+        end = 0
+        while m := _WRITTEN.match(x["open"], end):
+            role, said = unescaped(m[1]).replace("%0A", "\n").replace("%25", "%"), unescaped(m[2])
+            x["turns"].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+            x["n"], end = x["n"] + 1, m.end()
+        x["open"] = x["open"][end:]
+
+    def row():
+        if x["open"]:
+            raise ValueError("a turn does not end")
+        return key, x["n"], x["turns"].hexdigest(), x["chars"], x["loss"].hexdigest(), x["size"], x["examples"], x["context"], x["contexts"].hexdigest()
+
+    def batch(rows):
+        cols = list(zip(*rows)) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [kind, *types])], names)
+
+    for b in batches:
+        kind, done = b.schema.field(0).type, []
+        for i, n, base, prefix, target in zip(*(b.column(c).to_pylist() for c in range(5))):
+            if x is None or i != key:
+                if x is not None:
+                    done.append(row())
+                key, x = i, start()
+            if n != x["rows"]:
+                raise ValueError("the rows of a conversation must come together, in their order")
+            x["rows"] += 1
+            if base is None:  # a whole context begins with all that came before
+                if hashlib.sha256(prefix[: x["size"]].encode("utf-8", "surrogatepass")).digest() != x["run"].digest():
+                    raise ValueError("a context does not continue the transcript")
+                prefix = prefix[x["size"] :]
+            fed(prefix)
+            if target is not None:
+                x["examples"] += 1
+                x["context"] += x["size"]
+                x["contexts"].update(x["run"].digest())
+                said = unescaped(target)
+                x["chars"] += len(said)
+                x["loss"].update(said.encode("utf-8", "surrogatepass"))
+                fed(target)
+        yield batch(done)
+    if x is not None:
+        yield batch([row()])
+
+
+def example_digests(rows: DataFrame) -> DataFrame:
+    """One row a conversation as of ``digests``, read back from the rows of ``examples`` as they come."""
+    kind = rows.schema["conv_id"].dataType.simpleString()
+    return rows.mapInArrow(_read_examples, _DIGESTS.format(kind=kind))

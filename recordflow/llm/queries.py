@@ -66,7 +66,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL_TEXT).alias("text"),
     )
-    return chat_format.digests(chat_format.formatted(turns.unionByName(added)), ordered=True)
+    parts = chat_format.formatted(turns.unionByName(added))
+    return chat_format.example_digests(chat_format.examples(parts, ordered=True))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

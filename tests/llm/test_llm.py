@@ -566,6 +566,21 @@ def test_chat_examples(spark):
         chat_format.digests(parts.repartition(4, "part_no"), True).collect()
 
 
+@pytest.mark.parametrize("whole", [0, 300, 1 << 16])
+def test_examples_are_rows_and_give_the_transcript(whole, monkeypatch):
+    """Every assistant turn is a row with its target; contexts, whole or continued, are those of the transcript."""
+    monkeypatch.setattr(chat_format, "WHOLE", whole)
+    r = random.Random(8)
+    rows = [(i, k, r.choice(["user", "assistant"]), r.choice([CONTROL_TEXT, "", "é\n", "word " * 30])) for i in range(20) for k in range(r.randrange(1, 9))]
+    turns = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["conv_id", "turn", "role", "text"])
+    parts = list(chat_format._parts([turns]))
+    spelled = list(chat_format._spelled(parts))
+    found = pa.Table.from_batches(spelled).to_pylist()
+    assert [(x["conv_id"], chat_format.unescaped(x["target"])) for x in found if x["target"] is not None] == [(i, t) for i, _, role, t in rows if role == "assistant"]
+    assert {x["base"] is None for x in found if x["row_no"] and x["target"] is not None} == ({True} if whole > 9999 else {False} if not whole else {True, False})
+    assert pa.Table.from_batches(chat_format._read_examples(spelled)).to_pylist() == pa.Table.from_batches(chat_format._digested(parts)).to_pylist()
+
+
 # --- 10 --------------------------------------------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
