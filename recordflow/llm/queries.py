@@ -45,7 +45,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    found = repeats.with_passages(table(spark, sf_dir, "documents"))
     return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 

@@ -14,7 +14,8 @@
    counted by its own 128-bit hash instead, which spreads any crowd.
 5. Covered bytes are cut and the rest is digested.
 
-Only runs, one short text for each different run, and two joins by document move; a document's repeats are bounded
+Texts without a run of interest are digested where they are read; a table of bits, as large for any input, tells them. Only
+the other texts, runs, one short text for each different run, and two joins by document move; a document's repeats are bounded
 by its own length.  Equality of runs (2) and starts (4) rests on 128 bits of hash.
 
 Defined cases: a null text is empty, and a text under ``LENGTH`` bytes has no repeats; null ids are ids like any
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import forget, small_batches, written
+from .passages import bits_of, held, sharing_texts
 
 LENGTH, GRAM, CROWD = 400, 200, 256
 #: Starts of a run at most; bytes hashed in one piece; bytes of one transform, about.
@@ -346,7 +348,7 @@ def _first_pass(batches):
         for i, (doc, text, th, data, spans, open_) in enumerate(rows):
             spans += [(p, p + LENGTH) for p in repeated.get(i, ())]
             if not any(x["n"] == 1 for x in open_):
-                out.append((*_result(doc, data, spans), "done", *(None,) * 10))
+                out.append((*_result(doc, data, spans), "done", th, *(None,) * 9))
             else:
                 held = [{"s": s, "e": e} for s, e in _merged(spans)]
                 out.append((doc, *blank, "text", th, text, held, *(None,) * 7))
@@ -363,16 +365,46 @@ def _first_pass(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
 
+def _result_batch(out: list[tuple], kind):
+    cols = list(zip(*out)) if out else [[]] * 6
+    types = [kind, pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [*RESULT, "th"])
+
+
 def _last_pass(batches):
-    longs = pa.int64()
     for b in batches:
         out = []
-        for doc, text, spans, more in zip(*(b.column(i).to_pylist() for i in range(4))):
+        for doc, text, th, spans, more in zip(*(b.column(i).to_pylist() for i in range(5))):
             all_ = [(x["s"], x["e"]) for x in [*spans, *(more or [])]]
-            out.append(_result(doc, _bytes(text), all_))
-        cols = list(zip(*out)) if out else [[]] * 5
-        types = [b.schema.field(0).type, longs, longs, longs, pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], list(RESULT))
+            out.append((*_result(doc, _bytes(text), all_), th))
+        yield _result_batch(out, b.schema.field(0).type)
+
+
+def _plain(bits):
+    """Documents whose identity is not among the bits: nothing of them repeats."""
+
+    def rows(batches):
+        for b in batches:
+            data = [_bytes(t) for t in b.column(1).to_pylist()]
+            th = np.array([_identity(x) for x in data], np.int64)
+            left = np.flatnonzero(~held(bits.value, th)).tolist()
+            docs = b.column(0).to_pylist()
+            yield _result_batch([(*_result(docs[i], data[i], []), int(th[i])) for i in left], b.schema.field(0).type)
+
+    return rows
+
+
+def _identified(bits):
+    """The other documents, with their identity."""
+
+    def rows(batches):
+        for b in batches:
+            th = np.array([_identity(_bytes(t)) for t in b.column(1).to_pylist()], np.int64)
+            hit = pa.array(np.flatnonzero(held(bits.value, th)))
+            columns = [*b.columns, pa.array(th)]
+            yield pa.RecordBatch.from_arrays([c.take(hit) for c in columns], ["doc_id", "text", "th"])
+
+    return rows
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -384,6 +416,17 @@ def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return _without(docs, id_col, text).select(*RESULT)
+
+
+def with_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The same, and shares_passage: whether another row holds 51 words in a row of this one, however few bytes they are."""
+    sharing = sharing_texts(docs.select(F.col(f"`{text}`").alias("text")), _identity)
+    told = _without(docs, id_col, text).join(sharing.withColumn("shares_passage", F.lit(True)), "th", "left")
+    return told.select(*RESULT, F.coalesce("shares_passage", F.lit(False)).alias("shares_passage"))
+
+
+def _without(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     small_batches(docs.sparkSession)
     only = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = only.schema["doc_id"].dataType.simpleString()
@@ -401,14 +444,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     keys = keys.where("all > 1 OR any_own").select("key", "different", "any_own")
     facts = each.drop("own").join(keys, "key")
     me = F.struct("doc_id", "th", "first")
-    told = found.drop("own").join(facts, ["key", "content"]).select(
+    told = written(found.drop("own").join(facts, ["key", "content"]).select(
         "doc_id",
         "th",
         F.struct("key", "first", "count", "n", "different", "any_own", F.col("one").eqNullSafe(me).alias("mine")).alias("x"),
-    )
+    ), "told")
+    forget(found)
+    forget(each)
+    bits = docs.sparkSession.sparkContext.broadcast(bits_of(told, "th"))
     by_doc = told.groupBy("doc_id", "th").agg(F.collect_set("x").alias("found"))
-    with_identity = only.mapInArrow(_identified, f"doc_id {kind}, text string, th long")
+    with_identity = only.mapInArrow(_identified(bits), f"doc_id {kind}, text string, th long")
     pairs = "array<struct<s:long,e:long>>"
+    result = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, th long"
     first = written(
         _joined(with_identity, by_doc, "left").select("doc_id", "text", "th", "found").mapInArrow(
             _first_pass,
@@ -417,12 +464,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         ),
         "first",
     )
-    forget(found)
-    forget(each)
-    bits = first.where("kind = 'run'").select("doc_id", "th", "key", "bytes", "first", "count", "n")
+    forget(told)
+    pieces = first.where("kind = 'run'").select("doc_id", "th", "key", "bytes", "first", "count", "n")
     # a fixed number of tasks: small ones that are joined by their bytes would take long each
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    compared = bits.repartition(tasks, "key").sortWithinPartitions("key", "doc_id", "th", "first").mapInArrow(
+    compared = pieces.repartition(tasks, "key").sortWithinPartitions("key", "doc_id", "th", "first").mapInArrow(
         _compared, f"doc_id {kind}, th long, s long, e long"
     )
     starts = first.where("kind = 'start'").select("doc_id", "th", "first", "w1", "w2", "n")
@@ -432,13 +478,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     )
     more = compared.unionByName(crowded).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("more"))
     open_ = first.where("kind = 'text'").select("doc_id", "th", "text", "spans")
-    rest = _joined(open_, more, "left").select("doc_id", "text", "spans", "more").mapInArrow(
-        _last_pass, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    )
-    return first.where("kind = 'done'").select(*RESULT).unionByName(rest)
-
-
-def _identified(batches):
-    for b in batches:
-        th = [_identity(_bytes(t)) for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(th, pa.int64())], ["doc_id", "text", "th"])
+    rest = _joined(open_, more, "left").select("doc_id", "text", "th", "spans", "more").mapInArrow(_last_pass, result)
+    plain = only.mapInArrow(_plain(bits), result)
+    return plain.unionByName(first.where("kind = 'done'").select(*RESULT, "th")).unionByName(rest)

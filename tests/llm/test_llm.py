@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordflow.llm import bpe, chat_format, media, mixing, perplexity, pii, quality_rules, repeats, secret_scan, simhash
+from recordflow.llm import bpe, chat_format, media, mixing, passages, perplexity, pii, quality_rules, repeats, secret_scan, simhash
 from recordflow.llm.graph import components
 from recordflow.llm.queries import CONTROL_TEXT, QUERIES, _ranks
 
@@ -487,6 +487,43 @@ def test_repeats(spark, none, monkeypatch, crowd):
     assert repeats.without_repeats(none).count() == 0
 
 
+def brute_passages(rows):
+    at = defaultdict(set)
+    for i, (_, t) in enumerate(rows):
+        w = WORD.findall(t or "")
+        for p in range(len(w) - 50):
+            at[tuple(w[p : p + 51])].add(i)
+    hit = {i for v in at.values() if len(v) > 1 for i in v}
+    return sorted(((d, i in hit) for i, (d, _) in enumerate(rows)), key=str)
+
+
+@pytest.mark.parametrize("piece,run,bits", [(1 << 20, 256, 1 << 26), (40, 3, 64)])
+def test_shared_passages(spark, none, monkeypatch, piece, run, bits):
+    monkeypatch.setattr(passages, "PIECE", piece)
+    monkeypatch.setattr(passages, "RUN", run)
+    monkeypatch.setattr(passages.bits_of, "__defaults__", (bits,))
+    prose = lambda n: [rnd(rng.randrange(1, 5), "abcdeé漢") for _ in range(n)]
+    shared, line, rows = [prose(n) for n in (50, 51, 52, 60, 75, 200)], prose(30), []
+    for i in range(150):
+        t = prose(rng.choice([0, 20, 60]))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            p = rng.choice(shared)
+            cut = rng.choice([0, 0, 1, 9])
+            t += p[cut : len(p) - rng.choice([0, 0, 1, 9])] + prose(rng.choice([0, 3, 30]))
+        t += line if i % 3 else []  # below 51 words, so it marks nothing by itself
+        rows.append((i if i % 40 else None, "".join(w + rng.choice([" ", "\n", "\t  "]) for w in t)))
+    rows += [(200, " ".join(["ab", "c"] * 300)), (201, " ".join(prose(60) * 3)), (202, None), (203, "x" * 200_000), (204, "y" * 900)]
+    rows += [(7, rows[7][1]), (7, rows[7][1]), (205, " ".join(prose(20_000))), (206, "x " * 60), (207, "\nx" * 51)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_passages(rows)
+    assert 20 < sum(x for _, x in want) < len(want) - 20
+    got = repeats.with_passages(df).collect()
+    assert sorted(((r.doc_id, r.shares_passage) for r in got), key=str) == want
+    assert sorted((tuple(r)[:5] for r in got), key=str) == brute_repeats(rows)
+    assert any(r.shares_passage and not r.n_removed for r in got)
+    assert repeats.with_passages(none).count() == 0
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
