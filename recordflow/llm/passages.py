@@ -124,16 +124,24 @@ def _each(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _once(text, key, content):
-    """One row for each text, key and content."""
-    order = np.lexsort((content, key, text))
+    """One row for each key and content: (text, key, content, whether two texts have it), and the texts that share one so."""
+    order = np.lexsort((text, content, key))
     text, key, content = text[order], key[order], content[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-    return text[new], key[new], content[new]
+    group = np.ones(len(text), bool)
+    group[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+    new = group.copy()
+    new[1:] |= text[1:] != text[:-1]
+    text, key, content, group = text[new], key[new], content[new], group[new]
+    first = np.flatnonzero(group)
+    many = np.diff(np.append(first, len(text))) > 1
+    return text[first], key[first], content[first], many, np.unique(text[np.repeat(many, np.diff(np.append(first, len(text))))])
 
 
 def _dealt(identity, bits=None):
-    """Arrow batches of texts to (key, content, th): runs, or the windows of the runs whose key is among the bits."""
+    """Arrow batches of texts to (key, content, th, sure): runs, or the windows of the runs whose key is among the bits.
+
+    What two texts of a batch share goes once, with its key; these texts go as sure ones, under their identity, which spreads them.
+    """
 
     def rows(batches):
         for b in batches:
@@ -149,12 +157,13 @@ def _dealt(identity, bits=None):
                     content = mixed(np.add.reduceat(windows[at] * _IN_RUN[within], np.cumsum(count) - count) + count.astype(np.uint64))
                 else:
                     text, key, content = np.repeat(text, count), np.repeat(key, count), windows[at]
-            text, key, content = _once(text, key, content)
-            used = np.unique(text)
+            text, key, content, many, shared = _once(text, key, content)
+            used = np.union1d(text, shared)
             th = np.zeros(len(texts), np.int64)
             th[used] = [identity(texts[i]) for i in used.tolist()]
-            columns = (key.view(np.int64), content.view(np.int64), th[text])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "content", "th"])
+            own = np.unique(th[shared])
+            parts = ((key.view(np.int64), own), (content.view(np.int64), own), (th[text], own), (many, np.ones(len(own), bool)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in parts], ["key", "content", "th", "sure"])
 
     return rows
 
@@ -163,14 +172,14 @@ def _dealt(identity, bits=None):
 
 
 def _neighbours(batches):
-    """Rows in order of key and content: (th, null) where a neighbour is equal, (th, key) where one has the key only."""
+    """Rows in order of key and content: (th, null) where sure or a neighbour is equal, (th, key) where one has the key only."""
     held_, before = None, False
 
     def told(rows: np.ndarray, last: bool):
         same = (rows[:, 1:] == rows[:, :-1])[:2]
         key = np.concatenate(([False], same[0], [False]))
         both = np.concatenate(([False], same.all(0), [False]))
-        settled, near = both[1:] | both[:-1], key[1:] | key[:-1]
+        settled, near = both[1:] | both[:-1] | (rows[3] > 0), key[1:] | key[:-1]
         use = slice(int(before), None if last else -1)
         th, k, settled, near = rows[2][use], rows[0][use], settled[use], near[use]
         sure = np.unique(th[settled])
@@ -181,7 +190,7 @@ def _neighbours(batches):
     for b in batches:
         if not b.num_rows:
             continue
-        rows = np.stack([b.column(i).to_numpy() for i in range(3)])
+        rows = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
         if held_ is not None:
             rows = np.concatenate((held_, rows), axis=1)
         if rows.shape[1] > 1 + before:
@@ -213,7 +222,7 @@ def sharing_texts(texts: DataFrame, identity) -> DataFrame:
     small_batches(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     compared = lambda bits=None: (
-        texts.mapInArrow(_dealt(identity, bits), "key long, content long, th long")
+        texts.mapInArrow(_dealt(identity, bits), "key long, content long, th long, sure boolean")
         .repartition(tasks, "key", *(["content"] if bits else []))
         .sortWithinPartitions("key", "content")
         .mapInArrow(_neighbours, "th long, key long")

@@ -524,6 +524,14 @@ def test_shared_passages(spark, none, monkeypatch, piece, run, bits):
     assert repeats.with_passages(none).count() == 0
 
 
+def test_common_passages_travel_once():
+    line = [rnd(4, "abcde") for _ in range(60)]
+    texts = [" ".join(line + [rnd(6, "abcde") for _ in range(40)]) for _ in range(300)]
+    rows = next(passages._dealt(repeats._identity)([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])).to_pydict()
+    most = Counter(zip(rows["key"], rows["content"])).most_common(1)[0][1]
+    assert most == 1 and set(rows["th"]) == {repeats._identity(t.encode()) for t in texts}
+
+
 # --- 8 ---------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
